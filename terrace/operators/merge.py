@@ -62,16 +62,27 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       with_action: bool = False) -> DataFrame:
     """First write wins (M2): insert source keys the target lacks, never update.
 
-    The source is reduced to its latest row per key, then anti-joined with
-    the target's keys; rows of existing keys are left as they are.
+    Same shape as :func:`merge_upsert` with the target ranked first
+    regardless of version: a key present in the target keeps its target
+    row, a new key gets its latest source row.  The batch is reduced per
+    key before the union (map-side), and the final ranking reuses the
+    union's hash partitioning, so there is one shuffle per side and no
+    anti-join.
     """
     keys = list(keys)
-    fresh = latest_per_key(source.select(*target.columns), keys, version, tie_breakers)
-    new_rows = fresh.join(target.select(*keys), keys, "left_anti")
-    if not with_action:
-        return target.unionByName(new_rows)
-    return (target.withColumn(ACTION, F.lit("noop"))
-            .unionByName(new_rows.withColumn(ACTION, F.lit("insert"))))
+    cols = target.columns
+    if tie_breakers is None:
+        tie_breakers = orderable_columns(target, exclude=keys + [version])
+    batch = latest_per_key(source.select(*cols), keys, version, tie_breakers)
+    both = (target.select(*cols, F.lit(0).alias(_SIDE))
+            .unionByName(batch.select(*cols, F.lit(1).alias(_SIDE))))
+    order = ([F.col(_SIDE).asc(), F.col(version).desc_nulls_last()]
+             + [F.col(c).asc_nulls_first() for c in tie_breakers])
+    w_rank = Window.partitionBy(*keys).orderBy(*order)
+    out = both.withColumn("_rn", F.row_number().over(w_rank)).where(F.col("_rn") == 1)
+    if with_action:
+        out = out.withColumn(ACTION, F.when(F.col(_SIDE) == 0, F.lit("noop")).otherwise(F.lit("insert")))
+    return out.drop("_rn", _SIDE)
 
 
 def split_touched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:

@@ -25,6 +25,7 @@ SESSION_DEFAULTS = {
 # Static settings, only applicable when we build the session: call-site
 # capture costs a JVM round trip per column function call.
 STATIC_DEFAULTS = {
+    "spark.driver.memory": "8g",        # local mode: the driver JVM is the executor
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.python.sql.dataFrameDebugging.enabled": "false",

@@ -50,6 +50,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+
 def _days(ts: Column, n: int) -> Column:
     return ts + F.make_dt_interval(F.lit(n))
 
@@ -142,7 +143,8 @@ def item_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     needs a total order to be deterministic (D4).
     """
     li = table(spark, sf_dir, "lineitem")
-    freight = (F.col("l_tax").cast(MONEY) * F.col("l_quantity").cast(MONEY)).cast(MONEY)
+    # narrow operands keep the exact product in a long (decimal(14,4))
+    freight = (F.col("l_tax").cast("decimal(4,2)") * F.col("l_quantity").cast("decimal(9,2)")).cast(MONEY)
     return li.select(
         F.lit(REF_DAY_1).alias(REF_DAY),
         timestamp_to_stamp(F.col("l_shipdate")).alias(REF_FILE),
