@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terrace.session import checkpoint_root
+from terrace.session import checkpoint_root, scratch_path
 
 # Rows of a small side we are willing to ship to every executor.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -28,3 +28,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     df = materialize(df)
     n = df.count()
     return (F.broadcast(df) if n <= max_rows else df), n
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    The analogue of one job writing a zone table that the next job reads:
+    it cuts the lineage (a lost executor re-reads files instead of
+    recomputing the plan) and, unlike an RDD checkpoint, keeps columnar
+    pruning, pushed filters and size statistics for the readers.
+    """
+    path = scratch_path(df.sparkSession, "stage", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

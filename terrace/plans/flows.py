@@ -84,8 +84,11 @@ def order_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
+    """Order-item fact.  The item snapshot's order ids are those of all item
+    observations (merges never delete), a column-pruned scan."""
+    ids = feeds.item_observations(spark, sf_dir).select("order_id")
     return star.fact_orders(trusted_orders(spark, sf_dir), dim_customers(spark, sf_dir, history),
-                            trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir))
+                            trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir), ids)
 
 
 def sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
