@@ -52,8 +52,8 @@ def hot_keys(df: DataFrame, keys: Sequence[str], order_col: str,
                       F.max("_v").alias("_hi")))
     k = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int")
     return (per_key.where(F.col("_n") > F.lit(rows_per_task))
-                   .select(*keys, "_lo", k.alias("_k"),
-                           ((F.col("_hi") - F.col("_lo")) / k).alias("_w")))
+                   .select(*keys, F.col("_lo").alias("_hk_lo"), k.alias("_hk_n"),
+                           ((F.col("_hi") - F.col("_lo")) / k).alias("_hk_w")))
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
@@ -70,12 +70,12 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
         return df, False
     joined = df.join(F.broadcast(hot), keys, "left")   # bounded: <= N / rows_per_task rows
     v = _ordinal(df, order_col)
-    slice_ = F.least(F.greatest(F.floor((v - F.col("_lo")) / F.col("_w")).cast("int"), F.lit(0)),
-                     F.col("_k") - 1)
-    chunk = (F.when(F.col("_k").isNull(), F.lit(-1))
-              .when(F.col("_w") > 0, slice_)
+    slice_ = F.least(F.greatest(F.floor((v - F.col("_hk_lo")) / F.col("_hk_w")).cast("int"), F.lit(0)),
+                     F.col("_hk_n") - 1)
+    chunk = (F.when(F.col("_hk_n").isNull(), F.lit(-1))
+              .when(F.col("_hk_w") > 0, F.coalesce(slice_, F.lit(0)))   # NULL order value: first slice
               .otherwise(F.lit(0)))
-    return joined.withColumn(CHUNK, chunk).drop("_lo", "_k", "_w"), True
+    return joined.withColumn(CHUNK, chunk).drop("_hk_lo", "_hk_n", "_hk_w"), True
 
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -122,3 +122,32 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     patched[next_prefix + "_exists"] = (F.col(next_prefix + "_exists")
                                         | F.col("_next_chunk_first._e").isNotNull())
     return out.withColumns(patched).drop("_prev_chunk_last", "_next_chunk_first")
+
+
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 out: str, chunked: bool = False) -> DataFrame:
+    """``out`` = the last non-NULL ``value`` at or before each row within its key.
+
+    With ``chunked`` (frame from :func:`assign_chunks`) the fill runs per
+    ``(key, chunk)``; rows whose chunk has no value yet take the last value
+    of the earlier chunks from a per-chunk summary (bounded, broadcast).
+    """
+    part = list(keys) + ([CHUNK] if chunked else [])
+    order_cols = [F.col(c).asc_nulls_first() for c in order]
+    w = (Window.partitionBy(*part).orderBy(*order_cols)
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    filled = df.withColumn(out, F.last(value, ignorenulls=True).over(w))
+    if not chunked:
+        return filled
+    order_struct = F.struct(*[F.col(c) for c in order])
+    summary = (df.where((F.col(CHUNK) >= 0) & F.col(value).isNotNull())
+                 .groupBy(*part).agg(F.max_by(value, order_struct).alias("_chunk_last")))
+    earlier = (Window.partitionBy(*keys).orderBy(CHUNK)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    # chunks that hold no value still need the carry: index every hot chunk
+    chunks = df.where(F.col(CHUNK) >= 0).select(*part).distinct()
+    carry = (chunks.join(summary.select(*part, "_chunk_last"), part, "left")
+                   .select(*part, F.last("_chunk_last", ignorenulls=True).over(earlier).alias("_carry")))
+    return (filled.join(F.broadcast(carry), part, "left")      # bounded: <= 2N / rows_per_task rows
+                  .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
+                  .drop("_carry"))
