@@ -462,6 +462,19 @@ WHERE o.customer_id IS NULL OR n.customer_id IS NULL
 FROM orders o LEFT JOIN h ON CAST(o.o_custkey AS VARCHAR) = h.customer_id
   AND (h.ts_start_date IS NULL OR o.o_orderdate >= h.ts_start_date)
   AND (h.ts_end_date IS NULL OR o.o_orderdate < h.ts_end_date)"""
+    q["q_dim_location_distinct"] = _with(CUST_DROPS, cust_history("h", (1, 2, 3))) + """SELECT DISTINCT
+       customer_zip_code_prefix, customer_city, customer_state
+FROM h WHERE customer_zip_code_prefix IS NOT NULL"""
+    q["q_control_trusted"] = _with(TRUSTED_ORDERS) + """SELECT 'raw' AS str_origin_zone,
+       'trusted' AS str_target_zone, '0002_trusted_orders' AS str_process,
+       'ecommerce/olist_orders_dataset' AS str_origin_file_path,
+       'ecommerce/olist_orders_dataset' AS str_target_file_path,
+       CAST(20240111000000 AS BIGINT) AS dt_proc,
+       CAST(SUM(CASE WHEN merge_action IN ('insert', 'update') THEN 1 ELSE 0 END) AS BIGINT) AS num_affected_rows,
+       CAST(SUM(CASE WHEN merge_action = 'update' THEN 1 ELSE 0 END) AS BIGINT) AS num_updated_rows,
+       CAST(0 AS BIGINT) AS num_deleted_rows,
+       CAST(SUM(CASE WHEN merge_action = 'insert' THEN 1 ELSE 0 END) AS BIGINT) AS num_inserted_rows
+FROM t_orders"""
     q["q_dim_location"] = _with(CUST_DROPS, cust_history("hist123", (1, 2, 3)), DIM_LOCATION) + \
         "SELECT * FROM dim_location"
     q["q_dim_customers"] = _with(CUST_DROPS, cust_history("hist12", (1, 2)),

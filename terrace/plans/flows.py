@@ -55,6 +55,10 @@ def dim_customers(spark: SparkSession, sf_dir: str, history: DataFrame | None =
     return star.dim_customers(history, BATCH_TS, previous)
 
 
+def dim_location_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return star.dim_location_distinct(customer_history(spark, sf_dir))
+
+
 def dim_location(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     return star.dim_location(history if history is not None else customer_history(spark, sf_dir))
 
@@ -83,6 +87,15 @@ def order_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_metrics(trusted_orders(spark, sf_dir, with_action=True))
 
 
+def order_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trusted-zone audit row of the orders merge (M6)."""
+    from terrace.operators.control import control_trusted
+    from terrace.plans.landing_flows import PROC_STAMP
+    return control_trusted(order_merge_metrics(spark, sf_dir), "0002_trusted_orders", "raw",
+                           "trusted", "ecommerce/olist_orders_dataset",
+                           "ecommerce/olist_orders_dataset", PROC_STAMP)
+
+
 def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     """Order-item fact.  The item snapshot's order ids are those of all item
     observations (merges never delete), a column-pruned scan."""
