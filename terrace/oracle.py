@@ -315,6 +315,7 @@ fact AS (
        AND (c.ts_end_date IS NULL OR o.ts_order_purchase < c.ts_end_date)
   LEFT JOIN pay_order p ON o.order_id = p.order_id
   LEFT JOIN t_items i ON o.order_id = i.order_id
+  WHERE o.order_id IS NOT NULL
 )"""
 
 FACT_CTES = ",".join([CUST_DROPS, cust_history("hist12", (1, 2)), cust_history("hist123", (1, 2, 3)),

@@ -64,8 +64,8 @@ def dim_location(spark: SparkSession, sf_dir: str, history: DataFrame | None = N
 
 
 def trusted_orders(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
-    return trusted.orders_snapshot(feeds.order_history(spark, sf_dir),
-                                   feeds.order_replays(spark, sf_dir), CUTOFF_STAMP, with_action)
+    feed = feeds.order_feed(spark, sf_dir)
+    return trusted.orders_snapshot(feed, F.col(feeds.ORDER_KIND) == "replay", CUTOFF_STAMP, with_action)
 
 
 def trusted_items(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,12 +43,12 @@ def insert_only(target: DataFrame, batch: DataFrame, entity, with_action: bool =
                              REF_FILE, with_action=with_action)
 
 
-def orders_snapshot(history: DataFrame, replays: DataFrame, cutoff: int,
-                    with_action: bool = False) -> DataFrame:
-    """Trusted orders: snapshot before ``cutoff`` upserted with every later file
-    plus the stale replays (which must lose)."""
-    target = snapshot(before(history, cutoff), ORDERS)
-    batch = from_(history, cutoff).unionByName(replays)
+def orders_snapshot(feed: DataFrame, is_replay, cutoff: int, with_action: bool = False) -> DataFrame:
+    """Trusted orders: the snapshot of the files before ``cutoff``, upserted
+    with every later file plus the stale replays (which must lose).  One
+    filter per side, so each side scans the feed once."""
+    target = snapshot(feed.where(~is_replay & (F.col(REF_FILE) < F.lit(cutoff))), ORDERS)
+    batch = feed.where(is_replay | (F.col(REF_FILE) >= F.lit(cutoff)))
     return upsert(target, batch, ORDERS, with_action)
 
 

@@ -97,42 +97,55 @@ def customer_observations(spark: SparkSession, sf_dir: str, drops=(1, 2, 3)) ->
 
 
 # ---------------------------------------------------------------- orders
-def _order_row(o: DataFrame, status: Column, stamp_ts: Column, closed: bool) -> DataFrame:
+ORDER_KIND = "_kind"
+
+
+def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order observation from one scan, tagged ``_kind``:
+
+    ``placed`` (status O) for every order; ``closed`` for F/P orders, 45 days
+    later; ``replay`` - stale re-sends of urgent orders placed before the
+    cutoff, with their original stamp and status S, which must never
+    overwrite (D10).
+    """
+    o = table(spark, sf_dir, "orders")
     ts = F.col("o_orderdate")
-    return o.select(
+    closes = F.col("o_orderstatus") != "O"
+    replays = ((F.col("o_orderpriority") == REPLAYED_PRIORITY)
+               & (timestamp_to_stamp(ts) < F.lit(CUTOFF_STAMP)))
+    kinds = F.array(F.lit("placed"), F.when(closes, F.lit("closed")), F.when(replays, F.lit("replay")))
+    rows = o.select("*", F.explode(kinds).alias(ORDER_KIND)).where(F.col(ORDER_KIND).isNotNull())
+    closed = F.col(ORDER_KIND) == "closed"
+    no_ts = F.lit(None).cast("timestamp_ntz")
+    return rows.select(
         F.lit(REF_DAY_1).alias(REF_DAY),
-        timestamp_to_stamp(stamp_ts).alias(REF_FILE),
+        timestamp_to_stamp(F.when(closed, _days(ts, CLOSE_AFTER_DAYS)).otherwise(ts)).alias(REF_FILE),
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
-        status.alias("order_status"),
+        F.when(closed, F.col("o_orderstatus"))
+         .when(F.col(ORDER_KIND) == "replay", F.lit("S")).otherwise(F.lit("O")).alias("order_status"),
         ts.alias("ts_order_purchase"),
         _days(ts, 1).alias("ts_order_approved_at"),
-        (_days(ts, 3) if closed else F.lit(None).cast("timestamp_ntz")).alias("ts_order_delivered_carrier"),
-        (F.when(F.col("o_orderstatus") == DELIVERED, _days(ts, 10)) if closed
-         else F.lit(None).cast("timestamp_ntz")).alias("ts_order_delivered_customer"),
-        F.to_date(_days(ts, 20)).alias("dt_order_estimated_delivery"))
+        F.when(closed, _days(ts, 3)).otherwise(no_ts).alias("ts_order_delivered_carrier"),
+        F.when(closed & (F.col("o_orderstatus") == DELIVERED), _days(ts, 10)).otherwise(no_ts)
+         .alias("ts_order_delivered_customer"),
+        F.to_date(_days(ts, 20)).alias("dt_order_estimated_delivery"),
+        F.col(ORDER_KIND))
 
 
 def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order observations: placed (status O) for every order, closed for F/P orders."""
-    o = table(spark, sf_dir, "orders")
-    placed = _order_row(o, F.lit("O"), F.col("o_orderdate"), closed=False)
-    closed = _order_row(o.where(F.col("o_orderstatus") != "O"), F.col("o_orderstatus"),
-                        _days(F.col("o_orderdate"), CLOSE_AFTER_DAYS), closed=True)
-    return placed.unionByName(closed)
+    """Placed and closed order observations."""
+    f = order_feed(spark, sf_dir)
+    return f.where(F.col(ORDER_KIND) != "replay").drop(ORDER_KIND)
 
 
 def order_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stale re-sends: urgent orders placed before the cutoff, re-sent with their
-    original stamp and status ``S``.  They must never overwrite (D10)."""
-    o = table(spark, sf_dir, "orders").where(
-        (F.col("o_orderpriority") == REPLAYED_PRIORITY)
-        & (timestamp_to_stamp(F.col("o_orderdate")) < F.lit(CUTOFF_STAMP)))
-    return _order_row(o, F.lit("S"), F.col("o_orderdate"), closed=False)
+    f = order_feed(spark, sf_dir)
+    return f.where(F.col(ORDER_KIND) == "replay").drop(ORDER_KIND)
 
 
 def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_history(spark, sf_dir).unionByName(order_replays(spark, sf_dir))
+    return order_feed(spark, sf_dir).drop(ORDER_KIND)
 
 
 # ---------------------------------------------------------------- items
@@ -170,28 +183,26 @@ def item_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- payments
 def payment_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One payment per order; every 3rd order pays 60 % first and the rest 30 days later."""
+    """One payment per order; every 3rd order pays 60 % first and the rest 30 days
+    later (both rows from one scan)."""
     o = table(spark, sf_dir, "orders")
     total = F.col("o_totalprice").cast(MONEY)
     split = F.col("o_orderkey") % SECOND_PAYMENT_EVERY == 0
     first_part = (F.floor(F.col("o_totalprice") * 60) / 100).cast(MONEY)
-    first = o.select(
-        F.lit(REF_DAY_1).alias(REF_DAY),
-        timestamp_to_stamp(F.col("o_orderdate")).alias(REF_FILE),
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.lit(1).alias("nu_payment_sequential"),
-        F.col("o_orderpriority").alias("payment_type"),
-        (F.col("o_orderkey") % 10 + 1).cast("int").alias("nu_payment_installments"),
-        F.when(split, first_part).otherwise(total).cast(MONEY).alias("nu_payment_value"))
-    second = o.where(split).select(
+    rows = o.select("*", F.explode(F.array(F.lit(1), F.when(split, F.lit(2)))).alias("_seq")) \
+            .where(F.col("_seq").isNotNull())
+    second = F.col("_seq") == 2
+    ts = F.col("o_orderdate")
+    return rows.select(
         F.lit(REF_DAY_1).alias(REF_DAY),
-        timestamp_to_stamp(_days(F.col("o_orderdate"), SECOND_PAYMENT_AFTER_DAYS)).alias(REF_FILE),
+        timestamp_to_stamp(F.when(second, _days(ts, SECOND_PAYMENT_AFTER_DAYS)).otherwise(ts)).alias(REF_FILE),
         F.col("o_orderkey").cast("string").alias("order_id"),
-        F.lit(2).alias("nu_payment_sequential"),
-        F.lit("voucher").alias("payment_type"),
-        F.lit(1).alias("nu_payment_installments"),
-        (total - first_part).cast(MONEY).alias("nu_payment_value"))
-    return first.unionByName(second)
+        F.col("_seq").cast("int").alias("nu_payment_sequential"),
+        F.when(second, F.lit("voucher")).otherwise(F.col("o_orderpriority")).alias("payment_type"),
+        F.when(second, F.lit(1)).otherwise(F.col("o_orderkey") % 10 + 1).cast("int")
+         .alias("nu_payment_installments"),
+        F.when(second, total - first_part).when(split, first_part).otherwise(total).cast(MONEY)
+         .alias("nu_payment_value"))
 
 
 # ---------------------------------------------------------------- products
