@@ -14,7 +14,11 @@ from terrace.operators.scd2 import ACTIVE, changed_rows, scd2_build, scd2_change
 from terrace.plans import marts, star, trusted
 from terrace.schema import CUSTOMERS, REF_FILE
 from terrace.sources import feeds
-from terrace.sources.feeds import BATCH_TS, CUTOFF_STAMP, PRODUCT_CUTOFF_STAMP
+from terrace.sources.feeds import BATCH_TS, CUSTOMER_DROP_STAMPS, CUTOFF_STAMP, PRODUCT_CUTOFF_STAMP
+
+# Each customer drop is a full snapshot with one row per customer, so a
+# customer has at most one observation - hence at most one version - per drop.
+CUSTOMER_VERSIONS_BOUND = len(CUSTOMER_DROP_STAMPS)
 
 
 def customer_history(spark: SparkSession, sf_dir: str, drops=(1, 2, 3)) -> DataFrame:
@@ -101,7 +105,8 @@ def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = No
     observations (merges never delete), a column-pruned scan."""
     ids = feeds.item_observations(spark, sf_dir).select("order_id")
     return star.fact_orders(trusted_orders(spark, sf_dir), dim_customers(spark, sf_dir, history),
-                            trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir), ids)
+                            trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir), ids,
+                            customer_versions_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +170,8 @@ def orders_with_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = customer_history(spark, sf_dir).withColumnRenamed(REF_FILE, "ref_customer_version")
     return temporal_left_join(o, h, "customer_id", "customer_id", "ts_order_purchase",
                               take=["customer_zip_code_prefix", "customer_city", "customer_state",
-                                    "ref_customer_version"])
+                                    "ref_customer_version"],
+                              versions_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def fact_orders_out(spark: SparkSession, sf_dir: str) -> DataFrame:
