@@ -71,13 +71,17 @@ def test_run_batch_two_days(spark):
     # audit: one raw row per (day, drop) and entity; one trusted row per merge
     audit = spark.read.parquet(lake.control("raw"))
     assert audit.where(F.col("str_process") == "raw_customers").count() == 3
-    assert spark.read.parquet(lake.control("trusted")).count() == 8
+    assert spark.read.parquet(lake.control("trusted")).count() == 8   # 4 merges x 2 days
     # fact: every item row plus every order without items
     fact = spark.read.parquet(lake.refined("dw_fact_orders", "b2"))
     n_items = spark.read.parquet(lake.trusted(ORDER_ITEMS, "b2")).count()
     no_items = fact.where(F.col("order_item_id").isNull()).count()
     assert fact.count() == n_items + no_items
     assert spark.read.parquet(lake.refined("aggregate_sales_performance_by_city", "b2")).count() > 0
+    # a batch that died half-way reruns under the same id
+    run_batch(spark, land2, lake_root, DAY2, "b2", ts, previous_batch_id="b1")
+    assert rows(spark.read.parquet(lake.trusted(CUSTOMERS, "b2")), *cols) == \
+        rows(flows.customer_history(spark, SF_SMALL), *cols)
     # replaying day 2 into a new version changes nothing
     run_batch(spark, land2, lake_root, DAY2, "b3", ts, previous_batch_id="b2")
     for e in (CUSTOMERS, ORDERS, ORDER_ITEMS):
