@@ -85,12 +85,6 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
     return out.drop("_rn", _SIDE)
 
 
-def split_touched(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows of keys the batch touches, rows it does not) — O2."""
-    k = batch.select(*keys).distinct()
-    return target.join(k, list(keys), "left_semi"), target.join(k, list(keys), "left_anti")
-
-
 def merge_metrics(merged: DataFrame, insert_only: bool = False) -> DataFrame:
     """One row: num_affected_rows, num_updated_rows, num_deleted_rows, num_inserted_rows (M4).
 
@@ -105,10 +99,3 @@ def merge_metrics(merged: DataFrame, insert_only: bool = False) -> DataFrame:
                           null.alias("num_deleted_rows"), ins.alias("num_inserted_rows"))
     return merged.agg((ins + upd).alias("num_affected_rows"), upd.alias("num_updated_rows"),
                       F.lit(0).cast("bigint").alias("num_deleted_rows"), ins.alias("num_inserted_rows"))
-
-
-def metric_columns():
-    """Observation expressions for a write of a merged frame (no second scan)."""
-    return [F.sum(F.when(F.col(ACTION) == "insert", 1).otherwise(0)).alias("num_inserted_rows"),
-            F.sum(F.when(F.col(ACTION) == "update", 1).otherwise(0)).alias("num_updated_rows"),
-            F.count(F.lit(1)).alias("num_rows")]
