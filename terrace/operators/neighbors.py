@@ -3,14 +3,14 @@
 ``lag``/``lead`` over ``Window.partitionBy(key)`` put every row of a key in
 one task; a key holding a third of the table would then be one task.  Here
 keys whose row count exceeds ``rows_per_task`` are split into contiguous
-*chunks* of their ordering column (``ceil(n / rows_per_task)`` equal-width
-slices between the key's min and max), the window runs per
+*chunks* of their ordering column (near-equal-count slices cut at
+approximate quantiles, refined until each fits a task), the window runs per
 ``(key, chunk)``, and the first/last row of every chunk is patched from a
 per-chunk summary (each chunk's first and last row, then ``lag``/``lead``
 over the chunks of the key).
 
 The hot-key table has at most ``N / rows_per_task`` rows and the chunk
-summary at most ``2N / rows_per_task`` rows, bounds that hold by
+summary about ``N / rows_per_task`` rows per level, bounds that hold by
 construction, so both are broadcast.  Ordinary keys carry chunk ``-1``;
 the patch branch filters ``_chunk >= 0`` before aggregating.  When no key
 is hot (one eager count decides) the plain per-key window runs.
@@ -39,43 +39,65 @@ def _ordinal(df: DataFrame, col: str) -> Column:
     return c.cast("double")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], order_col: str,
-             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows, with their chunk geometry.
-
-    At most ``N / rows_per_task`` rows by construction.
-    """
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more than ``rows_per_task`` rows: at most ``N / rows_per_task`` rows."""
     keys = list(keys)
-    per_key = (df.select(*keys, _ordinal(df, order_col).alias("_v"))
-                 .groupBy(*keys)
-                 .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"),
-                      F.max("_v").alias("_hi")))
-    k = F.ceil(F.col("_n") / F.lit(rows_per_task)).cast("int")
-    return (per_key.where(F.col("_n") > F.lit(rows_per_task))
-                   .select(*keys, F.col("_lo").alias("_hk_lo"), k.alias("_hk_n"),
-                           ((F.col("_hi") - F.col("_lo")) / k).alias("_hk_w")))
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+              .where(F.col("_n") > F.lit(rows_per_task)).select(*keys))
+
+
+# Each refinement cuts an oversized group into SLICES near-equal-count slices
+# at approximate quantiles; chunk ids compose as ``parent * SLICES + slice``.
+SLICES = 64
+MAX_LEVELS = 6                      # 64**6 slices per key: ~7e10 * rows_per_task rows
+QUANTILE_ACCURACY = 10_000
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
                   rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, bool]:
-    """Add ``_chunk`` (-1 ordinary keys, 0..k-1 slices for hot keys) when any key is hot.
+    """Add ``_chunk`` (-1 ordinary keys, ordered slice ids for hot keys) when any key is hot.
 
     One eager size check decides the plan: counting the hot keys is a
-    partial aggregation over the key and ordering columns only.  Without a
-    hot key the frame is returned unchanged and ``False``.
+    partial aggregation over the key column only.  Without a hot key the
+    frame is returned unchanged and ``False``.
+
+    Hot keys are cut at approximate quantiles of the ordering column
+    (``percentile_approx``, a partial aggregate) into up to 64 slices of
+    near-equal row counts, whatever the time distribution; a slice still
+    over ``rows_per_task`` rows is cut again the same way.  A row's slice is
+    the number of boundaries at or below its value, so slice ids keep the
+    ordering column's order.  Each level is one small eager aggregate over
+    the hot rows; the boundary table has at most ``N / rows_per_task`` rows
+    of 63 values.  Rows sharing one ordering value cannot be separated.
     """
     keys = list(keys)
-    hot = hot_keys(df, keys, order_col, rows_per_task)
+    hot = hot_keys(df, keys, rows_per_task)
     if hot.count() == 0:
         return df, False
-    joined = df.join(F.broadcast(hot), keys, "left")   # bounded: <= N / rows_per_task rows
     v = _ordinal(df, order_col)
-    slice_ = F.least(F.greatest(F.floor((v - F.col("_hk_lo")) / F.col("_hk_w")).cast("int"), F.lit(0)),
-                     F.col("_hk_n") - 1)
-    chunk = (F.when(F.col("_hk_n").isNull(), F.lit(-1))
-              .when(F.col("_hk_w") > 0, F.coalesce(slice_, F.lit(0)))   # NULL order value: first slice
-              .otherwise(F.lit(0)))
-    return joined.withColumn(CHUNK, chunk).drop("_hk_lo", "_hk_n", "_hk_w"), True
+    out = (df.join(F.broadcast(hot.withColumn(CHUNK, F.lit(0).cast("long"))), keys, "left")
+             .withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(-1).cast("long"))))
+    fractions = [i / SLICES for i in range(1, SLICES)]
+    for _ in range(MAX_LEVELS):
+        part = keys + [CHUNK]
+        big = (out.where(F.col(CHUNK) >= 0)
+                  .select(*part, v.alias("_v"))
+                  .groupBy(*part)
+                  .agg(F.count(F.lit(1)).alias("_n"),
+                       F.percentile_approx("_v", fractions, QUANTILE_ACCURACY).alias("_bounds"))
+                  .where(F.col("_n") > F.lit(rows_per_task))
+                  .select(*part, "_bounds"))
+        if big.count() == 0:
+            break
+        position = F.size(F.filter(F.col("_bounds"), lambda b: b <= v))
+        # bounded: at most N / rows_per_task oversized groups
+        out = (out.join(F.broadcast(big), part, "left")
+                  .withColumn(CHUNK, F.when(F.col(CHUNK) < 0, F.col(CHUNK))
+                              .otherwise(F.col(CHUNK) * SLICES
+                                         + F.when(F.col("_bounds").isNull(), F.lit(0))
+                                            .otherwise(position)))
+                  .drop("_bounds"))
+    return out, True
 
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],

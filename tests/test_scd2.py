@@ -124,3 +124,20 @@ def test_hot_key_split_matches_plain_window(spark):
     split = hist(build(spark, data, rows_per_task=7))
     assert split == plain
     _invariants(plain)
+
+
+def test_bursty_hot_key_is_refined(spark):
+    # 50 of the hot key's rows fall within one hour of a year-long span
+    from pyspark.sql import functions as F
+
+    from terrace.operators.neighbors import CHUNK, assign_chunks
+    t0 = dt.datetime(2020, 1, 1)
+    data = [("hot", "AB"[i % 2], t0 + dt.timedelta(seconds=i), i) for i in range(50)]
+    data += [("hot", "C", t0 + dt.timedelta(days=d), 100 + d) for d in range(1, 366, 30)]
+    data += [("cold", "X", t0, 1)]
+    df = spark.createDataFrame(data, OBS)
+    chunked, hot = assign_chunks(df, ["k"], "ts", rows_per_task=8)
+    assert hot
+    sizes = [r[1] for r in chunked.where(F.col(CHUNK) >= 0).groupBy(CHUNK).count().collect()]
+    assert max(sizes) <= 8
+    assert hist(build(spark, data, rows_per_task=8)) == hist(build(spark, data))
