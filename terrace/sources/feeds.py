@@ -38,16 +38,17 @@ DELIVERED = "F"           # order status playing "delivered"
 REPLAYED_PRIORITY = "1-URGENT"
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given (read-only) input table; the handle is reused within a session."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    hit = _TABLES.get(path)
+    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
+        hit = (spark, spark.read.parquet(path))
+        _TABLES[path] = hit
+    return hit[1]
 
 
 
