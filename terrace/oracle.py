@@ -381,7 +381,7 @@ def queries() -> dict[str, str]:
     q["q_batch_read"] = _with(CUST_DROPS) + _raw(RAW_DAY, "WHERE drop_no = 3")
     q["q_stream_ingest"] = q["q_raw_append"]
     q["q_control_raw"] = _with(CUST_DROPS) + f"""SELECT 'landzone' AS str_origin_zone, 'raw' AS str_target_zone,
-       '0001_raw_customers' AS str_process, 'ecommerce/olist_customers_dataset/' AS str_origin_file_path,
+       'raw_customers' AS str_process, 'ecommerce/olist_customers_dataset/' AS str_origin_file_path,
        'ecommerce/olist_customers_dataset' AS str_target_file_path,
        {RAW_DAY} AS ref, {RAW_DAY} AS ref_partition, ref_file_extraction,
        ref_file_extraction AS ref_file_extraction_partition,
@@ -467,7 +467,7 @@ FROM orders o LEFT JOIN h ON CAST(o.o_custkey AS VARCHAR) = h.customer_id
        customer_zip_code_prefix, customer_city, customer_state
 FROM h WHERE customer_zip_code_prefix IS NOT NULL"""
     q["q_control_trusted"] = _with(TRUSTED_ORDERS) + """SELECT 'raw' AS str_origin_zone,
-       'trusted' AS str_target_zone, '0002_trusted_orders' AS str_process,
+       'trusted' AS str_target_zone, 'trusted_orders' AS str_process,
        'ecommerce/olist_orders_dataset' AS str_origin_file_path,
        'ecommerce/olist_orders_dataset' AS str_target_file_path,
        CAST(20240111000000 AS BIGINT) AS dt_proc,

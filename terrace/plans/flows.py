@@ -95,7 +95,7 @@ def order_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trusted-zone audit row of the orders merge (M6)."""
     from terrace.operators.control import control_trusted
     from terrace.plans.landing_flows import PROC_STAMP
-    return control_trusted(order_merge_metrics(spark, sf_dir), "0002_trusted_orders", "raw",
+    return control_trusted(order_merge_metrics(spark, sf_dir), "trusted_orders", "raw",
                            "trusted", "ecommerce/olist_orders_dataset",
                            "ecommerce/olist_orders_dataset", PROC_STAMP)
 

@@ -89,7 +89,7 @@ def batch_read(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = landing.read_raw(spark, _ingest_days(spark, sf_dir).raw_path)
-    return control_raw(raw, "0001_raw_customers", LANDING_ZONE, RAW_ZONE,
+    return control_raw(raw, "raw_customers", LANDING_ZONE, RAW_ZONE,
                        f"ecommerce/{CUSTOMERS.folder}/", f"ecommerce/{CUSTOMERS.folder}",
                        PROC_STAMP)
 
