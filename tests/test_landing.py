@@ -77,3 +77,11 @@ def test_stream_ingest_reads_only_new_drops(spark):
     ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240112)
     got = rows(landing.read_raw(spark, raw_path), "customer_id", "ref_day_partition", "ref_file_extraction")
     assert got == [("1", 20240111, 20240101000000), ("2", 20240112, 20240102000000)]
+
+
+def test_reconcile_flags_missing_stamp(spark):
+    from terrace.operators.control import reconcile
+    land = spark.createDataFrame([(1,), (1,), (2,)], "ref_file_extraction bigint")
+    raw = spark.createDataFrame([(1,), (1,), (3,)], "ref_file_extraction bigint")
+    got = rows(reconcile(land, raw))
+    assert got == [(1, 2, 2, True), (2, 1, 0, False), (3, 0, 1, False)]

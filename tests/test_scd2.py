@@ -141,3 +141,11 @@ def test_bursty_hot_key_is_refined(spark):
     sizes = [r[1] for r in chunked.where(F.col(CHUNK) >= 0).groupBy(CHUNK).count().collect()]
     assert max(sizes) <= 8
     assert hist(build(spark, data, rows_per_task=8)) == hist(build(spark, data))
+
+
+def test_scd2_changes_kinds(spark):
+    from terrace.operators.scd2 import scd2_changes
+    old = build(spark, [("a", "A", T(1), 1), ("b", "X", T(1), 1)])
+    new = build(spark, [("a", "A", T(1), 1), ("a", "B", T(3), 3), ("b", "X", T(1), 1)])
+    got = rows(scd2_changes(old, new, ["k"], "stamp"), "k", "stamp", "change_kind")
+    assert got == [("a", 1, "close"), ("a", 3, "insert")]
