@@ -81,3 +81,16 @@ def test_upsert_is_idempotent(spark, t, s):
     assert rows(once) == rows(twice)
     # newer-wins equals latest over everything seen, target first on ties
     assert {r[0] for r in rows(once)} == {r[0] for r in t} | {r[0] for r in s}
+
+
+@settings(max_examples=10, deadline=None)
+@given(t=batch, s=batch)
+def test_insert_only_is_idempotent_and_keeps_target(spark, t, s):
+    target = latest_per_key(spark.createDataFrame(t, SCHEMA), ["k"], "v")
+    source = spark.createDataFrame(s, SCHEMA)
+    once = merge_insert_only(target, source, ["k"], "v")
+    assert rows(merge_insert_only(once, source, ["k"], "v")) == rows(once)
+    kept = {r[0]: r for r in rows(target)}
+    for r in rows(once):
+        if r[0] in kept:
+            assert r == kept[r[0]]

@@ -149,3 +149,17 @@ def test_scd2_changes_kinds(spark):
     new = build(spark, [("a", "A", T(1), 1), ("a", "B", T(3), 3), ("b", "X", T(1), 1)])
     got = rows(scd2_changes(old, new, ["k"], "stamp"), "k", "stamp", "change_kind")
     assert got == [("a", 1, "close"), ("a", 3, "insert")]
+
+
+@settings(max_examples=10, deadline=None)
+@given(data=obs_strategy, late_mask=st.lists(st.booleans(), min_size=10, max_size=10))
+def test_late_batch_rebuild_equals_full_build(spark, data, late_mask):
+    rows_ = [(k, c, T(d), d) for k, c, d in data]
+    early = [r for r, late in zip(rows_, late_mask) if not late]
+    late = [r for r, is_late in zip(rows_, late_mask) if is_late]
+    if not early or not late:
+        return
+    history = build(spark, early)
+    inc = scd2_rebuild_touched(history, spark.createDataFrame(rows_, OBS), spark.createDataFrame(late, OBS),
+                               ["k"], ["city"], "ts", carry=["stamp"])
+    assert hist(inc) == hist(build(spark, rows_))
