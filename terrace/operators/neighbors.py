@@ -54,7 +54,8 @@ QUANTILE_ACCURACY = 10_000
 
 
 def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
-                  rows_per_task: int = ROWS_PER_TASK) -> tuple[DataFrame, bool]:
+                  rows_per_task: int = ROWS_PER_TASK,
+                  collapse_copies: bool = False) -> tuple[DataFrame, bool]:
     """Add ``_chunk`` (-1 ordinary keys, ordered slice ids for hot keys) when any key is hot.
 
     One eager size check decides the plan: counting the hot keys is a
@@ -69,11 +70,21 @@ def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
     ordering column's order.  Each level is one small eager aggregate over
     the hot rows; the boundary table has at most ``N / rows_per_task`` rows
     of 63 values.  Rows sharing one ordering value cannot be separated.
+
+    ``collapse_copies`` (for callers to whom identical rows are redundant):
+    when a hot key exists, exact copies are collapsed first with
+    ``distinct()`` - combined map-side, so a hot group of copies ships one
+    row per task - and the check is repeated on the result.
     """
     keys = list(keys)
     hot = hot_keys(df, keys, rows_per_task)
     if hot.count() == 0:
         return df, False
+    if collapse_copies:
+        df = df.distinct()
+        hot = hot_keys(df, keys, rows_per_task)
+        if hot.count() == 0:
+            return df, False
     v = _ordinal(df, order_col)
     out = (df.join(F.broadcast(hot.withColumn(CHUNK, F.lit(0).cast("long"))), keys, "left")
              .withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(-1).cast("long"))))

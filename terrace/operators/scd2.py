@@ -51,7 +51,8 @@ def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[s
     cols = list(dict.fromkeys(keys + tracked + carry + order))
     obs = observations.select(*cols)
 
-    obs, chunked = assign_chunks(obs, keys, effective, rows_per_task)
+    # identical observations cannot change the history: copies of a hot key collapse
+    obs, chunked = assign_chunks(obs, keys, effective, rows_per_task, collapse_copies=True)
     with_prev = neighbors(obs, keys, order, prev=tracked, chunked=chunked)
     changed = (~F.col("prev__exists")) | tracked_differs(
         [F.col(c) for c in tracked], [F.col("prev_" + c) for c in tracked])

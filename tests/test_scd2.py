@@ -163,3 +163,14 @@ def test_late_batch_rebuild_equals_full_build(spark, data, late_mask):
     inc = scd2_rebuild_touched(history, spark.createDataFrame(rows_, OBS), spark.createDataFrame(late, OBS),
                                ["k"], ["city"], "ts", carry=["stamp"])
     assert hist(inc) == hist(build(spark, rows_))
+
+
+def test_hot_group_of_copies_collapses(spark):
+    # a third of the rows are copies of one observation of one key
+    data = [("hot", "A", T(2), 2)] * 40 + [("hot", "B", T(d), d) for d in (1, 3, 4)]
+    data += [(f"k{i}", "X", T(1), 1) for i in range(80)]
+    from terrace.operators.neighbors import assign_chunks
+    out, chunked = assign_chunks(spark.createDataFrame(data, OBS), ["k"], "ts", rows_per_task=8,
+                                 collapse_copies=True)
+    assert not chunked and out.count() == 84          # 1 + 3 hot rows + 80 others
+    assert hist(build(spark, data, rows_per_task=8)) == hist(build(spark, data))
