@@ -5,11 +5,13 @@ from __future__ import annotations
 from terrace.llm.bitplane import op10_bitplanes
 from terrace.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from terrace.llm.mixing import OP3_SQL, op3_mixing
+from terrace.llm.pieces import op1_pieces
 from terrace.llm.pii import op7_pii
 from terrace.llm.secrets import op6_secrets
 from terrace.llm.topk import OP9_SQL, op9_topk
 
 QUERIES = {
+    "op1_pieces": op1_pieces,
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secrets": op6_secrets,
