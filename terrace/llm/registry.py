@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from terrace.llm.bitplane import op10_bitplanes
 from terrace.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from terrace.llm.html_text import op8_html_text
 from terrace.llm.mixing import OP3_SQL, op3_mixing
 from terrace.llm.pieces import op1_pieces
 from terrace.llm.pii import op7_pii
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secrets": op6_secrets,
     "op7_pii": op7_pii,
+    "op8_html_text": op8_html_text,
     "op9_topk": op9_topk,
     "op10_bitplanes": op10_bitplanes,
 }
