@@ -9,11 +9,13 @@ from terrace.llm.mixing import OP3_SQL, op3_mixing
 from terrace.llm.pieces import op1_pieces
 from terrace.llm.pii import op7_pii
 from terrace.llm.secrets import op6_secrets
+from terrace.llm.toxicity import op4_toxicity
 from terrace.llm.topk import OP9_SQL, op9_topk
 
 QUERIES = {
     "op1_pieces": op1_pieces,
     "op3_mixing": op3_mixing,
+    "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_secrets": op6_secrets,
     "op7_pii": op7_pii,
