@@ -29,14 +29,14 @@ so decoding gives it back.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import StructType
 
 from terrace.llm.common import key_text, prepare, table
 
@@ -271,9 +271,10 @@ def model_path() -> str:
     return str(public_tokenizers.path(MODEL))
 
 
-def encode(docs: DataFrame, model: str | None = None, seed: str = SEED, theta: float = THETA) -> DataFrame:
-    """doc_id, ids, lossless (whether decoding the ids gives the text back) of every row."""
-    model = model or model_path()
+def encode(docs: DataFrame, model: str | None = None, seed: str = SEED, theta: float = THETA,
+           keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, ``keep`` columns, ids, lossless (whether decoding the ids gives the text back) of every row."""
+    model, kept = model or model_path(), ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model, theta)
@@ -281,15 +282,15 @@ def encode(docs: DataFrame, model: str | None = None, seed: str = SEED, theta: f
         for b in batches:
             if not b.num_rows:
                 continue
-            texts = b.column(2)
-            ids = sampler.sample(texts, b.column(1).to_numpy())
+            stream, texts = b.columns[-2:]
+            ids = sampler.sample(texts, stream.to_numpy())
             same = pc.equal(joined(pieces, ids), texts.cast(pa.binary()))
             null = np.asarray(pc.is_null(texts))
             out = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=pa.array(null)) if null.any() else ids
-            yield pa.RecordBatch.from_arrays([b.column(0), out, same], ["doc_id", "ids", "lossless"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:-2], out, same], [*kept, "ids", "lossless"])
 
-    src = docs.select("doc_id", F.xxhash64(F.lit(seed), key_text(F.col("doc_id"))).alias("stream"), "text")
-    out = StructType([src.schema["doc_id"], *StructType.fromDDL("ids array<int>, lossless boolean").fields])
+    src = docs.select(*kept, F.xxhash64(F.lit(seed), key_text(F.col("doc_id"))).alias("stream_"), "text")
+    out = StructType([*src.schema.fields[:len(kept)], *StructType.fromDDL("ids array<int>, lossless boolean").fields])
     return src.mapInArrow(run, out)
 
 

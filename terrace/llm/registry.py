@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from terrace.llm.bitplane import op10_bitplanes
 from terrace.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from terrace.llm.html_text import op8_html_text
 from terrace.llm.mixing import OP3_SQL, op3_mixing
+from terrace.llm.ngram_join import op2_ngram_join
 from terrace.llm.pieces import op1_pieces
 from terrace.llm.pii import op7_pii
 from terrace.llm.secrets import op6_secrets
@@ -13,7 +15,9 @@ from terrace.llm.toxicity import op4_toxicity
 from terrace.llm.topk import OP9_SQL, op9_topk
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_pieces": op1_pieces,
+    "op2_ngram_join": op2_ngram_join,
     "op3_mixing": op3_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_exact_dedup": op5_exact_dedup,
