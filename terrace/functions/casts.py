@@ -78,8 +78,3 @@ def timestamp_to_stamp(ts: str | Column) -> Column:
         stamp = stamp * 100 + part
     return stamp
 
-
-def day_stamp(ts: str | Column) -> Column:
-    """TIMESTAMP -> ``yyyyMMdd`` int (the batch-day format)."""
-    t = F.col(ts) if isinstance(ts, str) else ts
-    return F.date_format(t, "yyyyMMdd").cast("int")

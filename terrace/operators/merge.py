@@ -5,19 +5,56 @@ Parquet has no ``MERGE INTO``; a merge here is a pure function
 to a fresh version directory.  Each result row carries ``merge_action``
 (``insert`` / ``update`` / ``noop``) so the metrics come from the same pass
 that writes (``DataFrame.observe``), not from a second scan.
+
+A target snapshot has one row per key (every merge result and every
+``latest_per_key`` result has).  The target is only joined to the batch, which
+is first reduced to one row per key: it is never ranked or sorted as a whole,
+and when the batch is small enough to broadcast it is not shuffled either.
+
+A batch row with a NULL in its key names no row: it is left out of the merge
+(``unkeyed`` gives these rows, to be stored and counted).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.operators.dedupe import latest_per_key, orderable_columns
 
 ACTION = "merge_action"
-_SIDE = "_side"          # 0 = target, 1 = source
+
+
+def _has_key(keys: Sequence[str]) -> Column:
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).isNotNull()
+    return cond
+
+
+def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(_has_key(keys))
+
+
+def unkeyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows that a merge leaves out because part of their key is NULL."""
+    return df.where(~_has_key(keys))
+
+
+def _reduced(source: DataFrame, cols: Sequence[str], keys: Sequence[str], version: str,
+             tie_breakers: Sequence[str]) -> DataFrame:
+    """One row per key: the partial WindowGroupLimit runs before the shuffle, so a
+    hot key in the batch ships one row per task."""
+    return latest_per_key(keyed(source.select(*cols), keys), keys, version, tie_breakers)
+
+
+def _inserts(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows whose key the target lacks.  The target gives only its keys, and
+    only those that the batch has."""
+    known = target.select(*keys).join(batch.select(*keys), keys, "left_semi")
+    return batch.join(known, keys, "left_anti")
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str,
@@ -30,31 +67,20 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], vers
     carried by the update).  Keys absent from the source pass through;
     keys absent from the target are inserted.  Duplicate source rows of a
     key resolve by version, then by every other column (D4).
-
-    One shuffle by key over ``target + source``; the window that ranks a
-    key also tells whether the key existed in the target.
     """
-    keys = list(keys)
-    cols = target.columns
+    keys, cols = list(keys), target.columns
     if tie_breakers is None:
         tie_breakers = orderable_columns(target, exclude=keys + [version])
-    # Reduce the batch to one row per key first: the partial WindowGroupLimit
-    # runs before the shuffle, so a hot key in the batch ships one row per task.
-    batch = latest_per_key(source.select(*cols), keys, version, tie_breakers)
-    both = (target.select(*cols, F.lit(0).alias(_SIDE))
-            .unionByName(batch.select(*cols, F.lit(1).alias(_SIDE))))
-    order = ([F.col(version).desc_nulls_last(), F.col(_SIDE).asc()]
-             + [F.col(c).asc_nulls_first() for c in tie_breakers])
-    w_rank = Window.partitionBy(*keys).orderBy(*order)
-    w_key = Window.partitionBy(*keys)
-    ranked = (both.withColumn("_rn", F.row_number().over(w_rank))
-                  .withColumn("_in_target", F.min(_SIDE).over(w_key) == 0))
-    out = ranked.where(F.col("_rn") == 1)
-    if with_action:
-        out = out.withColumn(ACTION, F.when(F.col(_SIDE) == 0, F.lit("noop"))
-                             .when(F.col("_in_target"), F.lit("update"))
-                             .otherwise(F.lit("insert")))
-    return out.drop("_rn", "_in_target", _SIDE)
+    batch = _reduced(source, cols, keys, version, tie_breakers)
+    new = batch.select(*keys, F.struct(*cols).alias("_new"))
+    newer = F.col("_new").isNotNull() & F.col("_new")[version].isNotNull() & (
+        F.col(version).isNull() | (F.col("_new")[version] > F.col(version)))
+    joined = target.join(new, keys, "left").withColumn("_newer", newer)
+    kept = joined.select(*[c if c in keys else F.when(F.col("_newer"), F.col("_new")[c]).otherwise(F.col(c)).alias(c)
+                           for c in cols],
+                         F.when(F.col("_newer"), F.lit("update")).otherwise(F.lit("noop")).alias(ACTION))
+    out = kept.unionByName(_inserts(target, batch, keys).select(*cols, F.lit("insert").alias(ACTION)))
+    return out if with_action else out.drop(ACTION)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str], version: str,
@@ -62,27 +88,15 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
                       with_action: bool = False) -> DataFrame:
     """First write wins (M2): insert source keys the target lacks, never update.
 
-    Same shape as :func:`merge_upsert` with the target ranked first
-    regardless of version: a key present in the target keeps its target
-    row, a new key gets its latest source row.  The batch is reduced per
-    key before the union (map-side), and the final ranking reuses the
-    union's hash partitioning, so there is one shuffle per side and no
-    anti-join.
+    The target passes through as it is; a new key gets its latest source row.
     """
-    keys = list(keys)
-    cols = target.columns
+    keys, cols = list(keys), target.columns
     if tie_breakers is None:
         tie_breakers = orderable_columns(target, exclude=keys + [version])
-    batch = latest_per_key(source.select(*cols), keys, version, tie_breakers)
-    both = (target.select(*cols, F.lit(0).alias(_SIDE))
-            .unionByName(batch.select(*cols, F.lit(1).alias(_SIDE))))
-    order = ([F.col(_SIDE).asc(), F.col(version).desc_nulls_last()]
-             + [F.col(c).asc_nulls_first() for c in tie_breakers])
-    w_rank = Window.partitionBy(*keys).orderBy(*order)
-    out = both.withColumn("_rn", F.row_number().over(w_rank)).where(F.col("_rn") == 1)
-    if with_action:
-        out = out.withColumn(ACTION, F.when(F.col(_SIDE) == 0, F.lit("noop")).otherwise(F.lit("insert")))
-    return out.drop("_rn", _SIDE)
+    batch = _reduced(source, cols, keys, version, tie_breakers)
+    out = target.select(*cols, F.lit("noop").alias(ACTION)).unionByName(
+        _inserts(target, batch, keys).select(*cols, F.lit("insert").alias(ACTION)))
+    return out if with_action else out.drop(ACTION)
 
 
 def merge_metrics(merged: DataFrame, insert_only: bool = False) -> DataFrame:

@@ -1,19 +1,22 @@
 """Previous / next row within a key, safe for hot keys.
 
 ``lag``/``lead`` over ``Window.partitionBy(key)`` put every row of a key in
-one task; a key holding a third of the table would then be one task.  Here
-keys whose row count exceeds ``rows_per_task`` are split into contiguous
-*chunks* of their ordering column (near-equal-count slices cut at
-approximate quantiles, refined until each fits a task), the window runs per
-``(key, chunk)``, and the first/last row of every chunk is patched from a
-per-chunk summary (each chunk's first and last row, then ``lag``/``lead``
-over the chunks of the key).
-
-The hot-key table has at most ``N / rows_per_task`` rows and the chunk
-summary about ``N / rows_per_task`` rows per level, bounds that hold by
-construction, so both are broadcast.  Ordinary keys carry chunk ``-1``;
-the patch branch filters ``_chunk >= 0`` before aggregating.  When no key
-is hot (one eager count decides) the plain per-key window runs.
+one task; a key holding a third of the table would then be one task.  Keys
+whose row count exceeds ``rows_per_task`` are therefore cut into contiguous
+*chunks* of their full order tuple: the rows of hot keys are range-partitioned
+by (keys, order) into about ``2 N / rows_per_task`` ranges, and a row's range
+number is its chunk.  Any orderable type works, NULL keys included, and rows
+that share the first ordering value still fall into different chunks.  The
+window runs per ``(key, chunk)``, and the first/last row of every chunk is
+patched from a per-chunk summary (each chunk's first and last row, then
+``lag``/``lead`` over the chunks of the key) of at most one row per chunk and
+hot key.
+
+Chunked rows are written to the shared folder once, so that every use of
+them sees the same cuts.  Ordinary keys carry chunk ``-1``.  Joins carry no
+hints: Spark broadcasts the small tables when their measured size allows.
+One eager count decides whether any key is hot; a caller that can prove a
+bound of rows per key passes it and saves the count.
 """
 
 from __future__ import annotations
@@ -22,93 +25,80 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+
+from terrace.session import scratch_path
 
 CHUNK = "_chunk"
 # Rows one window task may hold for a single key (sized for executor memory).
 ROWS_PER_TASK = 4_000_000
 
 
-def _ordinal(df: DataFrame, col: str) -> Column:
-    t = df.schema[col].dataType
-    c = F.col(col)
-    if isinstance(t, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(t, DateType):
-        return F.unix_date(c).cast("double")
-    return c.cast("double")
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def null_safe(left: Sequence[Column], right: Sequence[Column]) -> Column:
+    """Equality of key tuples in which NULL equals NULL."""
+    cond = F.lit(True)
+    for a, b in zip(left, right):
+        cond = cond & a.eqNullSafe(b)
+    return cond
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys with more than ``rows_per_task`` rows: at most ``N / rows_per_task`` rows."""
-    keys = list(keys)
+    """Keys with more than ``rows_per_task`` rows and their counts: at most ``N / rows_per_task`` rows."""
     return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-              .where(F.col("_n") > F.lit(rows_per_task)).select(*keys))
+              .where(F.col("_n") > F.lit(rows_per_task)))
 
 
-# Each refinement cuts an oversized group into SLICES near-equal-count slices
-# at approximate quantiles; chunk ids compose as ``parent * SLICES + slice``.
-SLICES = 64
-MAX_LEVELS = 6                      # 64**6 slices per key: ~7e10 * rows_per_task rows
-QUANTILE_ACCURACY = 10_000
+def _hot_rows(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> int:
+    """Rows of hot keys (an eager partial aggregate over the key columns)."""
+    return hot_keys(df, keys, rows_per_task).agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
 
 
-def assign_chunks(df: DataFrame, keys: Sequence[str], order_col: str,
-                  rows_per_task: int = ROWS_PER_TASK,
-                  collapse_copies: bool = False) -> tuple[DataFrame, bool]:
-    """Add ``_chunk`` (-1 ordinary keys, ordered slice ids for hot keys) when any key is hot.
+def assign_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str] | str,
+                  rows_per_task: int = ROWS_PER_TASK, collapse_copies: bool = False,
+                  rows_bound: int | None = None) -> tuple[DataFrame, bool]:
+    """Add ``_chunk`` (-1 ordinary keys, ordered range numbers for hot keys) when any key is hot.
 
-    One eager size check decides the plan: counting the hot keys is a
-    partial aggregation over the key column only.  Without a hot key the
-    frame is returned unchanged and ``False``.
-
-    Hot keys are cut at approximate quantiles of the ordering column
-    (``percentile_approx``, a partial aggregate) into up to 64 slices of
-    near-equal row counts, whatever the time distribution; a slice still
-    over ``rows_per_task`` rows is cut again the same way.  A row's slice is
-    the number of boundaries at or below its value, so slice ids keep the
-    ordering column's order.  Each level is one small eager aggregate over
-    the hot rows; the boundary table has at most ``N / rows_per_task`` rows
-    of 63 values.  Rows sharing one ordering value cannot be separated.
+    ``order``: the full order within a key.  ``rows_bound``: a proven bound
+    of rows per key; at or under ``rows_per_task`` it decides without a count.
+    Without a hot key the frame is returned unchanged and ``False``.
 
     ``collapse_copies`` (for callers to whom identical rows are redundant):
     when a hot key exists, exact copies are collapsed first with
     ``distinct()`` - combined map-side, so a hot group of copies ships one
     row per task - and the check is repeated on the result.
     """
-    keys = list(keys)
-    hot = hot_keys(df, keys, rows_per_task)
-    if hot.count() == 0:
+    keys, order = list(keys), [order] if isinstance(order, str) else list(order)
+    if rows_bound is not None and rows_bound <= rows_per_task:
         return df, False
-    if collapse_copies:
+    n = _hot_rows(df, keys, rows_per_task)
+    if n and collapse_copies:
         df = df.distinct()
-        hot = hot_keys(df, keys, rows_per_task)
-        if hot.count() == 0:
-            return df, False
-    v = _ordinal(df, order_col)
-    out = (df.join(F.broadcast(hot.withColumn(CHUNK, F.lit(0).cast("long"))), keys, "left")
-             .withColumn(CHUNK, F.coalesce(F.col(CHUNK), F.lit(-1).cast("long"))))
-    fractions = [i / SLICES for i in range(1, SLICES)]
-    for _ in range(MAX_LEVELS):
-        part = keys + [CHUNK]
-        big = (out.where(F.col(CHUNK) >= 0)
-                  .select(*part, v.alias("_v"))
-                  .groupBy(*part)
-                  .agg(F.count(F.lit(1)).alias("_n"),
-                       F.percentile_approx("_v", fractions, QUANTILE_ACCURACY).alias("_bounds"))
-                  .where(F.col("_n") > F.lit(rows_per_task))
-                  .select(*part, "_bounds"))
-        if big.count() == 0:
-            break
-        position = F.size(F.filter(F.col("_bounds"), lambda b: b <= v))
-        # bounded: at most N / rows_per_task oversized groups
-        out = (out.join(F.broadcast(big), part, "left")
-                  .withColumn(CHUNK, F.when(F.col(CHUNK) < 0, F.col(CHUNK))
-                              .otherwise(F.col(CHUNK) * SLICES
-                                         + F.when(F.col("_bounds").isNull(), F.lit(0))
-                                            .otherwise(position)))
-                  .drop("_bounds"))
-    return out, True
+        n = _hot_rows(df, keys, rows_per_task)
+    if not n:
+        return df, False
+    hot = hot_keys(df, keys, rows_per_task).select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(keys)],
+                                                   F.lit(True).alias("_hot"))
+    names = [f"_hot_{i}" for i in range(len(keys))]
+    flagged = df.join(hot, null_safe([F.col(k) for k in keys], [F.col(h) for h in names]), "left")
+    ranges = 2 * -(-n // rows_per_task)
+    cut = (flagged.where(F.col("_hot")).select(*df.columns)
+           .repartitionByRange(ranges, *[F.col(c).asc_nulls_first() for c in keys + order])
+           .withColumn(CHUNK, F.spark_partition_id().cast("long")))
+    rest = flagged.where(F.col("_hot").isNull()).select(*df.columns, F.lit(-1).cast("long").alias(CHUNK))
+    return rest.unionByName(_stored(cut, "chunks")), True
+
+
+def _patched(rows: DataFrame, fix: DataFrame, part: Sequence[str]) -> DataFrame:
+    """Left join of per-chunk values, NULL keys included."""
+    names = [f"_fix_{i}" for i in range(len(part))]
+    renamed = fix.withColumnsRenamed(dict(zip(part, names)))
+    cond = null_safe([F.col(c) for c in part], [F.col(n) for n in names])
+    return rows.join(renamed, cond, "left").drop(*names)
 
 
 def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -118,7 +108,7 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
     ``order`` must be a total order within a key.  With ``chunked`` the
     frame carries ``_chunk`` from :func:`assign_chunks` over the same keys
-    and ``order[0]``.
+    and order.
     """
     part = list(keys) + ([CHUNK] if chunked else [])
     w = Window.partitionBy(*part).orderBy(*[F.col(c).asc_nulls_first() for c in order])
@@ -143,7 +133,7 @@ def neighbors(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     fix = summary.select(*part,
                          F.lag("_last").over(wc).alias("_prev_chunk_last"),
                          F.lead("_first").over(wc).alias("_next_chunk_first"))
-    out = out.join(F.broadcast(fix), part, "left")   # bounded: <= 2N / rows_per_task rows
+    out = _patched(out, fix, part)
     is_first = ~F.col(prev_prefix + "_exists")
     is_last = ~F.col(next_prefix + "_exists")
     patched = {prev_prefix + c: F.when(is_first, F.col("_prev_chunk_last")[c])
@@ -179,8 +169,8 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], value
                .rowsBetween(Window.unboundedPreceding, -1))
     # chunks that hold no value still need the carry: index every hot chunk
     chunks = df.where(F.col(CHUNK) >= 0).select(*part).distinct()
-    carry = (chunks.join(summary.select(*part, "_chunk_last"), part, "left")
+    carry = (_patched(chunks, summary.select(*part, "_chunk_last"), part)
                    .select(*part, F.last("_chunk_last", ignorenulls=True).over(earlier).alias("_carry")))
-    return (filled.join(F.broadcast(carry), part, "left")      # bounded: <= 2N / rows_per_task rows
+    return (_patched(filled, carry, part)
                   .withColumn(out, F.coalesce(F.col(out), F.col("_carry")))
                   .drop("_carry"))

@@ -12,8 +12,10 @@ A row opens a version when its tracked attributes differ, null-safely
 (D7) and come from the observations' effective time, not from the clock
 of the load (D9); the first version may open at -infinity (NULL start).
 The result is a pure function of the set of observations, so file arrival
-order cannot change it (D2, D3).  Both neighbour passes are hot-key safe
-(:mod:`terrace.operators.neighbors`).
+order cannot change it (D2, D3).  Observations that share an effective time give
+empty versions ``[t, t)`` for all but the last of them; no instant falls into
+an empty version, and the temporal joins pass them by.  Both neighbour passes
+are hot-key safe (:mod:`terrace.operators.neighbors`).
 """
 
 from __future__ import annotations
@@ -37,13 +39,16 @@ def tracked_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
 
 def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                effective: str, carry: Sequence[str] = (), tie: Sequence[str] | None = None,
-               open_start: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+               open_start: bool = False, rows_per_task: int = ROWS_PER_TASK,
+               rows_bound: int | None = None) -> DataFrame:
     """Versions of every key: keys, tracked, carry, ts_start_date, ts_end_date, flag_scd_active.
 
     ``carry`` columns are taken from the first observation of each version
     (e.g. its file stamp, which identifies the version for surrogate keys).
     ``tie`` orders observations that share an effective time (default: the
     tracked then carried columns), so the result is deterministic.
+    ``rows_bound``: a proven bound of observations per key; a small one saves
+    the eager hot-key count.
     """
     keys, tracked, carry = list(keys), list(tracked), list(carry)
     tie = list(tie) if tie is not None else [c for c in tracked + carry if c != effective]
@@ -52,7 +57,7 @@ def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[s
     obs = observations.select(*cols)
 
     # identical observations cannot change the history: copies of a hot key collapse
-    obs, chunked = assign_chunks(obs, keys, effective, rows_per_task, collapse_copies=True)
+    obs, chunked = assign_chunks(obs, keys, order, rows_per_task, collapse_copies=True, rows_bound=rows_bound)
     with_prev = neighbors(obs, keys, order, prev=tracked, chunked=chunked)
     changed = (~F.col("prev__exists")) | tracked_differs(
         [F.col(c) for c in tracked], [F.col("prev_" + c) for c in tracked])
@@ -72,8 +77,8 @@ def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[s
 def scd2_rebuild_touched(history: DataFrame, observations: DataFrame, batch: DataFrame,
                          keys: Sequence[str], tracked: Sequence[str], effective: str,
                          carry: Sequence[str] = (), tie: Sequence[str] | None = None,
-                         open_start: bool = False,
-                         rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+                         open_start: bool = False, rows_per_task: int = ROWS_PER_TASK,
+                         rows_bound: int | None = None) -> DataFrame:
     """Apply a batch (possibly late) to an existing history.
 
     Keys present in ``batch`` are rebuilt from all their observations
@@ -85,7 +90,7 @@ def scd2_rebuild_touched(history: DataFrame, observations: DataFrame, batch: Dat
     keys = list(keys)
     touched = batch.select(*keys).distinct()
     rebuilt = scd2_build(observations.join(touched, keys, "left_semi"), keys, tracked,
-                         effective, carry, tie, open_start, rows_per_task)
+                         effective, carry, tie, open_start, rows_per_task, rows_bound)
     kept = history.join(touched, keys, "left_anti")
     return kept.unionByName(rebuilt)
 
@@ -104,20 +109,34 @@ def changed_rows(incoming: DataFrame, active: DataFrame, keys: Sequence[str],
     return joined.where(cond).select(*incoming.columns)
 
 
-def scd2_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], identity: str) -> DataFrame:
+def scd2_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], identity: str,
+                 tracked: Sequence[str] = ()) -> DataFrame:
     """What a merge applies to go from history ``old`` to ``new``.
 
-    ``close``: a version whose end or active flag changed; ``insert``: a
-    version absent from ``old``; ``delete``: a version that vanished (only
-    possible when a late file splits history differently).  Versions are
+    ``insert``: a version absent from ``old``; ``delete``: a version that
+    vanished (a late file can make it redundant); ``update``: a version whose
+    start (a late earlier file) or tracked attributes changed; ``close``: a
+    version of which only the end or active flag changed.  Versions are
     identified by ``keys`` + ``identity`` (the first observation's stamp).
+    Applying the rows to ``old`` gives ``new``.
     """
-    ident = list(keys) + [identity]
-    o = old.select(*ident, F.col(END).alias("_old_end"), F.col(ACTIVE).alias("_old_active"))
+    ident, state = list(keys) + [identity], [START, *tracked]
+    o = old.select(*ident, *[F.col(c).alias("_old_" + c) for c in [*state, END, ACTIVE]])
     joined = new.join(o, ident, "full_outer")
-    kind = (F.when(F.col("_old_active").isNull(), F.lit("insert"))
+    moved = tracked_differs([F.col(c) for c in state], [F.col("_old_" + c) for c in state])
+    ended = ~F.col(END).eqNullSafe(F.col("_old_" + END)) | (F.col(ACTIVE) != F.col("_old_" + ACTIVE))
+    kind = (F.when(F.col("_old_" + ACTIVE).isNull(), F.lit("insert"))
              .when(F.col(ACTIVE).isNull(), F.lit("delete"))
-             .when(~F.col(END).eqNullSafe(F.col("_old_end")) | (F.col(ACTIVE) != F.col("_old_active")),
-                   F.lit("close")))
+             .when(moved, F.lit("update")).when(ended, F.lit("close")))
     return joined.withColumn("change_kind", kind).where(F.col("change_kind").isNotNull()) \
-                 .drop("_old_end", "_old_active")
+                 .drop(*["_old_" + c for c in [*state, END, ACTIVE]])
+
+
+def scd2_metrics(old: DataFrame, new: DataFrame, keys: Sequence[str], identity: str,
+                 tracked: Sequence[str] = ()) -> DataFrame:
+    """One row of merge metrics of a type-2 merge (M4): changed versions count as updated."""
+    changes = scd2_changes(old, new, keys, identity, tracked)
+    n = lambda *kinds: F.count_if(F.col("change_kind").isin(*kinds)).cast("bigint")
+    return changes.agg(F.count(F.lit(1)).cast("bigint").alias("num_affected_rows"),
+                       n("close", "update").alias("num_updated_rows"),
+                       n("delete").alias("num_deleted_rows"), n("insert").alias("num_inserted_rows"))

@@ -59,7 +59,7 @@ CUST_ORDER = ("ts_effective ASC NULLS FIRST, customer_zip_code_prefix ASC NULLS
               "customer_unique_id ASC NULLS FIRST")
 
 
-def cust_history(name: str, drops: tuple[int, ...]) -> str:
+def cust_history(name: str, drops: tuple[int, ...], where: str = "") -> str:
     """Type-2 history CTE ``name`` over the given drops."""
     ds = ", ".join(str(d) for d in drops)
     return f"""
@@ -67,7 +67,7 @@ def cust_history(name: str, drops: tuple[int, ...]) -> str:
   SELECT *,
          LAG(customer_zip_code_prefix) OVER w AS p_zip, LAG(customer_city) OVER w AS p_city,
          LAG(customer_state) OVER w AS p_state, ROW_NUMBER() OVER w AS rn
-  FROM cust_obs WHERE drop_no IN ({ds})
+  FROM cust_obs WHERE drop_no IN ({ds}) {where}
   WINDOW w AS (PARTITION BY customer_id ORDER BY {CUST_ORDER})
 ),
 {name}_starts AS (
@@ -373,13 +373,35 @@ EV_SELECT = """SELECT user_id, event_type, event_id, ts AS ts_start_date,
 FROM ev_starts WINDOW w AS (PARTITION BY user_id ORDER BY ts ASC NULLS FIRST, event_id ASC NULLS FIRST)"""
 
 
+def _scd2_changes(old: tuple[int, ...], new: tuple[int, ...]) -> str:
+    """Rows that a type-2 merge applies to go from the history of ``old`` drops to that of ``new``."""
+    tracked = ("n.ts_start_date IS DISTINCT FROM o.ts_start_date"
+               " OR n.customer_zip_code_prefix IS DISTINCT FROM o.customer_zip_code_prefix"
+               " OR n.customer_city IS DISTINCT FROM o.customer_city"
+               " OR n.customer_state IS DISTINCT FROM o.customer_state")
+    return _with(CUST_DROPS, cust_history("ho", old), cust_history("hn", new)) + f"""SELECT
+       COALESCE(n.customer_id, o.customer_id) AS customer_id,
+       n.customer_zip_code_prefix, n.customer_city, n.customer_state, n.ref_day,
+       COALESCE(n.ref_file_extraction, o.ref_file_extraction) AS ref_file_extraction,
+       n.customer_unique_id, n.ts_start_date, n.ts_end_date, n.flag_scd_active,
+       CASE WHEN o.customer_id IS NULL THEN 'insert' WHEN n.customer_id IS NULL THEN 'delete'
+            WHEN {tracked} THEN 'update' ELSE 'close' END AS change_kind
+FROM hn n FULL OUTER JOIN ho o
+  ON n.customer_id = o.customer_id AND n.ref_file_extraction = o.ref_file_extraction
+WHERE o.customer_id IS NULL OR n.customer_id IS NULL OR {tracked}
+   OR n.ts_end_date IS DISTINCT FROM o.ts_end_date OR n.flag_scd_active <> o.flag_scd_active"""
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["q_land_scan"] = _with(CUST_DROPS) + f"SELECT {LAND_COLS}, ref_file_extraction FROM cust_land"
     q["q_raw_stamp"] = _with(CUST_DROPS) + _raw(str(S.REF_DAY_1))
     q["q_raw_append"] = _with(CUST_DROPS) + _raw(RAW_DAY)
     q["q_batch_read"] = _with(CUST_DROPS) + _raw(RAW_DAY, "WHERE drop_no = 3")
-    q["q_stream_ingest"] = q["q_raw_append"]
+    # the second half of drop 2 arrives on the second day
+    q["q_stream_ingest"] = _with(CUST_DROPS) + _raw(
+        f"CASE WHEN drop_no = 1 OR (drop_no = 2 AND CAST(customer_id AS BIGINT) % 2 = 0) "
+        f"THEN {S.REF_DAY_1} ELSE {S.REF_DAY_2} END")
     q["q_control_raw"] = _with(CUST_DROPS) + f"""SELECT 'landzone' AS str_origin_zone, 'raw' AS str_target_zone,
        'raw_customers' AS str_process, 'ecommerce/olist_customers_dataset/' AS str_origin_file_path,
        'ecommerce/olist_customers_dataset' AS str_target_file_path,
@@ -387,8 +409,21 @@ def queries() -> dict[str, str]:
        ref_file_extraction AS ref_file_extraction_partition,
        CAST(20240111000000 AS BIGINT) AS dt_proc, COUNT(*) AS nu_qtd_rows
 FROM cust_land GROUP BY ALL"""
-    q["q_reconcile"] = _with(CUST_DROPS) + """SELECT ref_file_extraction, COUNT(*) AS nu_landing_rows,
-       COUNT(*) AS nu_raw_rows, TRUE AS flag_balanced FROM cust_land GROUP BY ref_file_extraction"""
+    q["q_audit_replay"] = q["q_control_raw"]
+    q["q_run_batch_raw"] = q["q_raw_append"]
+    q["q_reconcile"] = _with(CUST_DROPS) + f"""SELECT ref_file_extraction, nu_landing_rows, nu_raw_rows,
+       nu_raw_rows AS nu_raw_keys, nu_trusted_keys,
+       nu_landing_rows = nu_raw_rows AND nu_raw_rows = nu_trusted_keys AS flag_balanced
+FROM (SELECT ref_file_extraction, COUNT(*) AS nu_landing_rows,
+             COUNT(*) FILTER (WHERE drop_no < 3 OR CAST(customer_id AS BIGINT) % 2 = 0) AS nu_raw_rows,
+             COUNT(*) FILTER (WHERE (drop_no < 3 OR CAST(customer_id AS BIGINT) % 2 = 0)
+                              AND CAST(customer_id AS BIGINT) % 10 <> 0) AS nu_trusted_keys
+      FROM cust_land GROUP BY ref_file_extraction)"""
+    q["q_rejects"] = """SELECT 'item_without_key' AS reason, COUNT(*) AS nu_rows FROM lineitem WHERE l_orderkey % 97 = 0
+UNION ALL
+SELECT 'item_values', COUNT(*) FILTER (WHERE l_orderkey % 97 = 0) + COUNT(*) FILTER (WHERE l_orderkey % 89 = 0)
+FROM lineitem
+UNION ALL SELECT 'file_without_stamp', COUNT(*) FROM customer"""
     q["q_typed_items"] = _with(ITEM_FEED) + """SELECT ref_file_extraction, order_id, order_item_id, product_id,
        ts_shipping_limit, CAST(nu_price AS DOUBLE) AS nu_price,
        CAST(nu_freight_value AS DOUBLE) AS nu_freight_value, 0 AS nu_rejects
@@ -433,7 +468,10 @@ FROM t_orders"""
         "t_prod", "prod_t_src", "prod_b_src", "product_id", PROD_TIE, PROD_COLS)) + \
         f"SELECT {PROD_COLS}, TIMESTAMP '2024-01-11 00:00:00' AS ref_dw_process FROM t_prod"
     q["q_scd2_history"] = _with(CUST_DROPS, cust_history("h", (1, 2, 3))) + f"SELECT {HIST_COLS} FROM h"
-    q["q_scd2_late"] = q["q_scd2_history"]
+    q["q_run_batch_customers"] = q["q_scd2_history"]
+    q["q_scd2_late"] = _with(CUST_DROPS, cust_history(
+        "h", (1, 2, 3), f"AND (drop_no <> 2 OR CAST(customer_id AS BIGINT) % {S.MOVE_EVERY} = 0)")) + \
+        f"SELECT {HIST_COLS} FROM h"
     q["q_scd2_active"] = _with(CUST_DROPS, cust_history("h", (1, 2, 3))) + \
         f"SELECT {HIST_COLS} FROM h WHERE flag_scd_active"
     q["q_scd2_events"] = _with(EVENTS) + EV_SELECT
@@ -445,17 +483,27 @@ WHERE o.drop_no = 2 AND o.ref_file_extraction > a.ref_file_extraction
   AND (o.customer_zip_code_prefix IS DISTINCT FROM a.customer_zip_code_prefix
        OR o.customer_city IS DISTINCT FROM a.customer_city
        OR o.customer_state IS DISTINCT FROM a.customer_state)"""
-    q["q_scd2_changes"] = _with(CUST_DROPS, cust_history("h1", (1,)), cust_history("h12", (1, 2))) + f"""SELECT
-       COALESCE(n.customer_id, o.customer_id) AS customer_id,
-       n.customer_zip_code_prefix, n.customer_city, n.customer_state, n.ref_day,
-       COALESCE(n.ref_file_extraction, o.ref_file_extraction) AS ref_file_extraction,
-       n.customer_unique_id, n.ts_start_date, n.ts_end_date, n.flag_scd_active,
-       CASE WHEN o.customer_id IS NULL THEN 'insert' WHEN n.customer_id IS NULL THEN 'delete'
-            ELSE 'close' END AS change_kind
-FROM h12 n FULL OUTER JOIN h1 o
-  ON n.customer_id = o.customer_id AND n.ref_file_extraction = o.ref_file_extraction
-WHERE o.customer_id IS NULL OR n.customer_id IS NULL
-   OR n.ts_end_date IS DISTINCT FROM o.ts_end_date OR n.flag_scd_active <> o.flag_scd_active"""
+    q["q_scd2_changes"] = _scd2_changes((1,), (1, 2))
+    q["q_scd2_changes_late"] = _scd2_changes((2, 3), (1, 2, 3))
+    q["q_control_customers"] = f"""SELECT 'raw' AS str_origin_zone, 'trusted' AS str_target_zone,
+       'trusted_customers' AS str_process, 'ecommerce/olist_customers_dataset' AS str_origin_file_path,
+       'ecommerce/olist_customers_dataset' AS str_target_file_path, CAST({S.PROC_STAMP} AS BIGINT) AS dt_proc,
+       COUNT(*) AS num_affected_rows,
+       COUNT(*) FILTER (WHERE change_kind IN ('close', 'update')) AS num_updated_rows,
+       COUNT(*) FILTER (WHERE change_kind = 'delete') AS num_deleted_rows,
+       COUNT(*) FILTER (WHERE change_kind = 'insert') AS num_inserted_rows
+FROM ({_scd2_changes((1, 2), (1, 2, 3))})"""
+    q["q_insert_metrics"] = _with(TRUSTED_ITEMS) + """SELECT CAST(NULL AS BIGINT) AS num_affected_rows,
+       CAST(NULL AS BIGINT) AS num_updated_rows, CAST(NULL AS BIGINT) AS num_deleted_rows,
+       COUNT(*) FILTER (WHERE merge_action = 'insert') AS num_inserted_rows FROM t_items"""
+    q["q_temporal_events"] = _with(EVENTS) + f""", h AS ({EV_SELECT}),
+facts AS (
+  SELECT event_id AS fact_id, CASE WHEN event_id % 50 <> 0 THEN user_id END AS fact_user,
+         ts + INTERVAL 1 HOUR AS ts_fact FROM events)
+SELECT f.fact_id, f.fact_user, f.ts_fact, h.event_type, h.event_id
+FROM facts f LEFT JOIN h ON f.fact_user = h.user_id
+  AND (h.ts_start_date IS NULL OR f.ts_fact >= h.ts_start_date)
+  AND (h.ts_end_date IS NULL OR f.ts_fact < h.ts_end_date)"""
     q["q_temporal_join"] = _with(CUST_DROPS, cust_history("h", (1, 2, 3))) + """SELECT
        CAST(o.o_orderkey AS VARCHAR) AS order_id, CAST(o.o_custkey AS VARCHAR) AS customer_id,
        o.o_orderdate AS ts_order_purchase, h.customer_zip_code_prefix, h.customer_city,

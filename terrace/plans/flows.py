@@ -9,35 +9,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terrace.operators.control import control_trusted
 from terrace.operators.merge import merge_metrics
-from terrace.operators.scd2 import ACTIVE, changed_rows, scd2_build, scd2_changes
+from terrace.operators.scd2 import ACTIVE, changed_rows, scd2_build, scd2_changes, scd2_metrics
+from terrace.operators.temporal import asof_left_join, temporal_left_join
 from terrace.plans import marts, star, trusted
-from terrace.schema import CUSTOMERS, REF_FILE
+from terrace.schema import CUSTOMERS, ORDER_ITEMS, ORDER_PAYMENTS, ORDERS, PRODUCTS, REF_FILE
+from terrace.session import scratch_path
 from terrace.sources import feeds
-from terrace.sources.feeds import BATCH_TS, CUSTOMER_DROP_STAMPS, CUTOFF_STAMP, PRODUCT_CUTOFF_STAMP
+from terrace.sources.snapshots import write_snapshot
+from terrace.sources.feeds import BATCH_TS, CUSTOMER_DROP_STAMPS, CUTOFF_STAMP, PROC_STAMP, PRODUCT_CUTOFF_STAMP
 
 # Each customer drop is a full snapshot with one row per customer, so a
 # customer has at most one observation - hence at most one version - per drop.
 CUSTOMER_VERSIONS_BOUND = len(CUSTOMER_DROP_STAMPS)
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A snapshot of ``df`` in the shared folder (K2): its readers do not compute it again."""
+    return write_snapshot(df, scratch_path(spark, name))
+
+
 def customer_history(spark: SparkSession, sf_dir: str, drops=(1, 2, 3)) -> DataFrame:
-    return trusted.customer_history(feeds.customer_observations(spark, sf_dir, drops))
+    return trusted.customer_history(feeds.customer_observations(spark, sf_dir, drops),
+                                    rows_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def customer_history_late(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drops arrive 1, 3, then 2 late: the late batch rebuilds only the keys it touches."""
-    early = customer_history(spark, sf_dir, (1, 3))
-    all_obs = feeds.customer_observations(spark, sf_dir, (1, 2, 3))
-    late = feeds.customer_observations(spark, sf_dir, (2,))
-    return trusted.customer_history_late(early, all_obs, late)
+    """Drops arrive 1, 3, then 2 late, holding only customers that may move: those
+    keys are rebuilt, the stored versions of all others pass through."""
+    early = stored(spark, customer_history(spark, sf_dir, (1, 3)), "customers_early")
+    all_obs = feeds.customer_observations(spark, sf_dir, (1, 2, 3), delta_drop=2)
+    late = feeds.customer_observations(spark, sf_dir, (2,), delta_drop=2)
+    return trusted.customer_history_late(early, all_obs, late, rows_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def customer_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Version changes a merge of drop 2 applies to the history of drop 1."""
     old = customer_history(spark, sf_dir, (1,))
     new = customer_history(spark, sf_dir, (1, 2))
-    return scd2_changes(old, new, CUSTOMERS.keys, REF_FILE)
+    return scd2_changes(old, new, CUSTOMERS.keys, REF_FILE, CUSTOMERS.tracked)
+
+
+def customer_changes_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Version changes when drop 1 arrives after drops 2 and 3: starts move."""
+    old = customer_history(spark, sf_dir, (2, 3))
+    new = customer_history(spark, sf_dir, (1, 2, 3))
+    return scd2_changes(old, new, CUSTOMERS.keys, REF_FILE, CUSTOMERS.tracked)
+
+
+def customer_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trusted-zone audit row of the type-2 merge of drop 3 (M4, M6)."""
+    metrics = scd2_metrics(customer_history(spark, sf_dir, (1, 2)), customer_history(spark, sf_dir),
+                           CUSTOMERS.keys, REF_FILE, CUSTOMERS.tracked)
+    return control_trusted(metrics, "trusted_customers", "raw", "trusted", "ecommerce/olist_customers_dataset",
+                           "ecommerce/olist_customers_dataset", PROC_STAMP)
+
+
+def events_at_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's user state an hour later, by the as-of plan; every 50th fact has no key."""
+    e = feeds.event_observations(spark, sf_dir)
+    facts = e.select(F.col("event_id").alias("fact_id"),
+                     F.when(F.col("event_id") % 50 != 0, F.col("user_id")).alias("fact_user"),
+                     (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(1))).alias("ts_fact"))
+    return asof_left_join(facts, event_history(spark, sf_dir), "fact_user", "user_id", "ts_fact",
+                          take=["event_type", "event_id"])
 
 
 def changed_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,23 +104,35 @@ def dim_location(spark: SparkSession, sf_dir: str, history: DataFrame | None = N
 
 
 def trusted_orders(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
+    """The stored snapshot of the files before the cutoff, upserted with every later
+    file plus the stale replays (which must lose)."""
     feed = feeds.order_feed(spark, sf_dir)
-    return trusted.orders_snapshot(feed, F.col(feeds.ORDER_KIND) == "replay", CUTOFF_STAMP, with_action)
+    replay = F.col(feeds.ORDER_KIND) == "replay"
+    early = feed.where(~replay & (F.col(REF_FILE) < F.lit(CUTOFF_STAMP)))
+    target = stored(spark, trusted.snapshot(early, ORDERS), "orders")
+    return trusted.upsert(target, feed.where(replay | (F.col(REF_FILE) >= F.lit(CUTOFF_STAMP))), ORDERS, with_action)
+
 
+def _inserted(spark: SparkSession, obs: DataFrame, entity, cutoff: int, with_action: bool = False) -> DataFrame:
+    target = stored(spark, trusted.snapshot(trusted.before(obs, cutoff), entity), entity.name)
+    return trusted.insert_only(target, trusted.from_(obs, cutoff), entity, with_action)
 
-def trusted_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trusted.items_snapshot(feeds.item_observations(spark, sf_dir), CUTOFF_STAMP)
+
+def trusted_items(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
+    return _inserted(spark, feeds.item_observations(spark, sf_dir), ORDER_ITEMS, CUTOFF_STAMP, with_action)
 
 
 def trusted_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trusted.payments_snapshot(feeds.payment_observations(spark, sf_dir), CUTOFF_STAMP)
+    return _inserted(spark, feeds.payment_observations(spark, sf_dir), ORDER_PAYMENTS, CUTOFF_STAMP)
 
 
 def trusted_products(spark: SparkSession, sf_dir: str, upsert: bool) -> DataFrame:
+    """Products follow attribute changes with ``upsert`` (D5: SCD1 needs an upsert upstream)."""
     obs = feeds.product_observations(spark, sf_dir)
-    if upsert:
-        return trusted.products_upsert(obs, PRODUCT_CUTOFF_STAMP)
-    return trusted.products_insert_only(obs, PRODUCT_CUTOFF_STAMP)
+    if not upsert:
+        return _inserted(spark, obs, PRODUCTS, PRODUCT_CUTOFF_STAMP)
+    target = stored(spark, trusted.snapshot(trusted.before(obs, PRODUCT_CUTOFF_STAMP), PRODUCTS), "products")
+    return trusted.upsert(target, trusted.from_(obs, PRODUCT_CUTOFF_STAMP), PRODUCTS)
 
 
 def order_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,30 +141,37 @@ def order_merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_merge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trusted-zone audit row of the orders merge (M6)."""
-    from terrace.operators.control import control_trusted
-    from terrace.plans.landing_flows import PROC_STAMP
     return control_trusted(order_merge_metrics(spark, sf_dir), "trusted_orders", "raw",
                            "trusted", "ecommerce/olist_orders_dataset",
                            "ecommerce/olist_orders_dataset", PROC_STAMP)
 
 
-def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
+def insert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of the insert-only items merge (M4)."""
+    return merge_metrics(trusted_items(spark, sf_dir, with_action=True), insert_only=True)
+
+
+def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = None,
+                customers: bool = True) -> DataFrame:
     """Order-item fact.  The item snapshot's order ids are those of all item
     observations (merges never delete), a column-pruned scan."""
     ids = feeds.item_observations(spark, sf_dir).select("order_id")
-    return star.fact_orders(trusted_orders(spark, sf_dir), dim_customers(spark, sf_dir, history),
+    dim = dim_customers(spark, sf_dir, history) if customers else None
+    return star.fact_orders(trusted_orders(spark, sf_dir), dim,
                             trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir), ids,
                             customer_versions_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
-    history = customer_history(spark, sf_dir)
-    return marts.sales_by_city(dim_location(spark, sf_dir, history),
-                               fact_orders(spark, sf_dir, history))
+    """City mart over the stored fact and customer history."""
+    history = stored(spark, customer_history(spark, sf_dir), "customers")
+    fact = stored(spark, fact_orders(spark, sf_dir, history), "fact")
+    return marts.sales_by_city(dim_location(spark, sf_dir, history), fact)
 
 
 def sales_by_day_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.sales_by_day_payment(fact_orders(spark, sf_dir))
+    """Day mart over a stored fact without the customer dimension, which it does not use."""
+    return marts.sales_by_day_payment(stored(spark, fact_orders(spark, sf_dir, customers=False), "fact"))
 
 
 # ---------------------------------------------------------------- query-shaped outputs
@@ -127,19 +182,16 @@ def _money_to_double(df: DataFrame, cols) -> DataFrame:
 def typed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing strings of the items typed by the entity contract (P3, P4), with rejects."""
     from terrace.functions.casts import typed_projection
-    from terrace.schema import ORDER_ITEMS
     t = typed_projection(feeds.item_landing(spark, sf_dir), ORDER_ITEMS, carry=[REF_FILE],
                          reject_col="nu_rejects")
     return _money_to_double(t, ["nu_price", "nu_freight_value"])
 
 
 def latest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from terrace.schema import ORDERS
     return trusted.snapshot(feeds.order_observations(spark, sf_dir), ORDERS)
 
 
 def latest_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from terrace.schema import ORDER_ITEMS
     snap = trusted.snapshot(feeds.item_observations(spark, sf_dir), ORDER_ITEMS)
     return _money_to_double(snap, ["nu_price", "nu_freight_value"])
 
@@ -162,7 +214,6 @@ def active_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orders_with_customer_version(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order with the customer version valid at its purchase time."""
-    from terrace.operators.temporal import temporal_left_join
     o = feeds.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("order_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),

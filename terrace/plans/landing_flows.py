@@ -13,14 +13,17 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.operators.control import control_raw, reconcile
-from terrace.schema import CUSTOMERS, REF_FILE
+from terrace.functions.casts import typed_projection
+from terrace.operators.control import control_raw, read_audit, reconcile, write_audit
+from terrace.operators.merge import unkeyed
+from terrace.plans import batch
+from terrace.plans.flows import customer_history
+from terrace.schema import CUSTOMERS, ORDER_ITEMS, REF_FILE
 from terrace.session import scratch_path
 from terrace.sources import feeds, landing
-from terrace.sources.feeds import CUSTOMER_DROP_STAMPS, REF_DAY_1, REF_DAY_2
+from terrace.sources.feeds import BATCH_TS, CUSTOMER_DROP_STAMPS, PROC_STAMP, REF_DAY_1, REF_DAY_2
 from terrace.streaming.ingest import ingest_available
 
-PROC_STAMP = 20240111000000
 # Zone and path names written into the audit rows (relative, portable).
 LANDING_ZONE = "landzone"
 RAW_ZONE = "raw"
@@ -55,7 +58,7 @@ def land_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows of the stamped drops (S1 + P2); the unstamped drop is rejected."""
     lake = write_customer_drops(spark, sf_dir)
     scanned = landing.read_landing(spark, lake.folder, CUSTOMERS.landing)
-    return scanned.where(F.col(REF_FILE).isNotNull())
+    return scanned.where(F.col(REF_FILE).isNotNull()).drop(landing.LANDING_FILE)
 
 
 def raw_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,23 +97,88 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
                        PROC_STAMP)
 
 
+def audit_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit log after one batch wrote its rows twice (K3): each row once."""
+    audit, path = control_rows(spark, sf_dir), scratch_path(spark, "control")
+    for _ in range(2):
+        write_audit(audit, path, "b1")
+    return read_audit(spark, path)
+
+
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _ingest_days(spark, sf_dir)
+    """Landing vs raw vs trusted per drop (O5): half of drop 3 is not in raw yet, and the
+    trusted table was merged from drops 1 and 2 without every tenth customer."""
+    lake = write_customer_drops(spark, sf_dir, with_bad_name=False)
     scanned = landing.read_landing(spark, lake.folder, CUSTOMERS.landing)
-    return reconcile(scanned, landing.read_raw(spark, lake.raw_path))
+    key = F.col("customer_id").cast("bigint")
+    arrived = scanned.where((F.col(REF_FILE) != F.lit(CUSTOMER_DROP_STAMPS[2])) | (key % 2 == 0))
+    landing.write_raw(landing.to_raw(arrived, CUSTOMERS.landing, REF_DAY_1), lake.raw_path)
+    merged = customer_history(spark, sf_dir, (1, 2)).where(key % 10 != 0)
+    return reconcile(scanned, landing.read_raw(spark, lake.raw_path), trusted=merged, keys=CUSTOMERS.keys)
 
 
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Drops 1-2 ingested, then drop 3 lands and a rerun picks up only it."""
+    """Every drop lands as several part files.  Run 1 meets drop 1 and half of drop 2, run 2
+    the rest of drop 2 and drop 3, in micro-batches of two files; a third run finds nothing."""
     root = scratch_path(spark, "stream")
     landing_root, raw_path, ckpt = f"{root}/landing", f"{root}/raw", f"{root}/_checkpoint"
     folder = f"{landing_root}/{CUSTOMERS.folder}"
-    drops = feeds.customer_drops(spark, sf_dir)
-    for i, stamp in enumerate(CUSTOMER_DROP_STAMPS[:2], start=1):
-        landing.write_drop(drops.where(F.col("drop_no") == i), landing_root, CUSTOMERS.folder,
-                           stamp, CUSTOMERS.landing)
-    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, REF_DAY_1)
-    landing.write_drop(drops.where(F.col("drop_no") == 3), landing_root, CUSTOMERS.folder,
-                       CUSTOMER_DROP_STAMPS[2], CUSTOMERS.landing)
-    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, REF_DAY_2)
+    drops = feeds.customer_drops(spark, sf_dir).repartition(3, "customer_id")
+    half = F.col("customer_id").cast("bigint") % 2 == 0
+
+    def land(drop_no: int, rows: DataFrame) -> None:
+        landing.write_drop(rows.where(F.col("drop_no") == drop_no), landing_root, CUSTOMERS.folder,
+                           CUSTOMER_DROP_STAMPS[drop_no - 1], CUSTOMERS.landing, mode="append")
+
+    land(1, drops)
+    land(2, drops.where(half))
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, REF_DAY_1, max_files=2)
+    land(2, drops.where(~half))
+    land(3, drops)
+    for _ in range(2):
+        ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, REF_DAY_2, max_files=2)
     return landing.read_raw(spark, raw_path)
+
+
+def _two_days(spark: SparkSession, sf_dir: str) -> batch.Lake:
+    """Customer drops over two batch days from one landing folder, day 2 run twice."""
+    root = scratch_path(spark, "two_days")
+    drops = feeds.customer_drops(spark, sf_dir)
+
+    def land(drop_no: int) -> None:
+        landing.write_drop(drops.where(F.col("drop_no") == drop_no), f"{root}/landing", CUSTOMERS.folder,
+                           CUSTOMER_DROP_STAMPS[drop_no - 1], CUSTOMERS.landing)
+
+    land(1)
+    land(2)
+    batch.run_trusted(spark, f"{root}/landing", f"{root}/lake", REF_DAY_1, "b1", BATCH_TS, entities=[CUSTOMERS])
+    land(3)
+    for _ in range(2):
+        batch.run_trusted(spark, f"{root}/landing", f"{root}/lake", REF_DAY_2, "b2", BATCH_TS, "b1",
+                          entities=[CUSTOMERS])
+    return batch.Lake(f"{root}/lake")
+
+
+def run_batch_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.read_raw(spark, _two_days(spark, sf_dir).raw(CUSTOMERS))
+
+
+def run_batch_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(_two_days(spark, sf_dir).trusted(CUSTOMERS, "b2"))
+
+
+def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected rows by reason: item landings with spoilt keys and values, a drop without a stamp."""
+    items = feeds.item_landing(spark, sf_dir)
+    order = F.col("order_id").cast("bigint")
+    spoilt = items.withColumns({
+        "order_item_id": F.when(order % 97 == 0, F.lit("x")).otherwise(F.col("order_item_id")),
+        "price": F.when(order % 89 == 0, F.lit("n/a")).otherwise(F.col("price"))})
+    typed = typed_projection(spoilt, ORDER_ITEMS, reject_col="n")
+    lake = write_customer_drops(spark, sf_dir)
+    files = landing.rejected(landing.read_landing(spark, lake.folder, CUSTOMERS.landing), CUSTOMERS.landing)
+    reason = lambda df, name, n: df.agg(F.lit(name).alias("reason"), n.cast("bigint").alias("nu_rows"))
+    one = F.count(F.lit(1))
+    return (reason(unkeyed(typed, ORDER_ITEMS.keys), "item_without_key", one)
+            .unionByName(reason(typed, "item_values", F.coalesce(F.sum("n"), F.lit(0))))
+            .unionByName(reason(files, "file_without_stamp", one)))

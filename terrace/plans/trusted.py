@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terrace.operators.dedupe import latest_per_key
 from terrace.operators.merge import merge_insert_only, merge_upsert
 from terrace.operators.scd2 import scd2_build, scd2_rebuild_touched
-from terrace.schema import CUSTOMERS, ORDER_ITEMS, ORDER_PAYMENTS, ORDERS, PRODUCTS, REF_DAY, REF_FILE
+from terrace.schema import CUSTOMERS, REF_DAY, REF_FILE
 
 CUSTOMER_CARRY = [REF_DAY, REF_FILE, "customer_unique_id"]
 EFFECTIVE = "ts_effective"
@@ -43,34 +43,6 @@ def insert_only(target: DataFrame, batch: DataFrame, entity, with_action: bool =
                              REF_FILE, with_action=with_action)
 
 
-def orders_snapshot(feed: DataFrame, is_replay, cutoff: int, with_action: bool = False) -> DataFrame:
-    """Trusted orders: the snapshot of the files before ``cutoff``, upserted
-    with every later file plus the stale replays (which must lose).  One
-    filter per side, so each side scans the feed once."""
-    target = snapshot(feed.where(~is_replay & (F.col(REF_FILE) < F.lit(cutoff))), ORDERS)
-    batch = feed.where(is_replay | (F.col(REF_FILE) >= F.lit(cutoff)))
-    return upsert(target, batch, ORDERS, with_action)
-
-
-def items_snapshot(obs: DataFrame, cutoff: int, with_action: bool = False) -> DataFrame:
-    return insert_only(snapshot(before(obs, cutoff), ORDER_ITEMS), from_(obs, cutoff),
-                       ORDER_ITEMS, with_action)
-
-
-def payments_snapshot(obs: DataFrame, cutoff: int, with_action: bool = False) -> DataFrame:
-    return insert_only(snapshot(before(obs, cutoff), ORDER_PAYMENTS), from_(obs, cutoff),
-                       ORDER_PAYMENTS, with_action)
-
-
-def products_insert_only(obs: DataFrame, cutoff: int) -> DataFrame:
-    return insert_only(snapshot(before(obs, cutoff), PRODUCTS), from_(obs, cutoff), PRODUCTS)
-
-
-def products_upsert(obs: DataFrame, cutoff: int) -> DataFrame:
-    """Products follow attribute changes (D5: SCD1 needs an upsert upstream)."""
-    return upsert(snapshot(before(obs, cutoff), PRODUCTS), from_(obs, cutoff), PRODUCTS)
-
-
 def customer_history(obs: DataFrame, **kw) -> DataFrame:
     """Type-2 customers: tracked zip/city/state, first version open at -infinity."""
     return scd2_build(obs, CUSTOMERS.keys, CUSTOMERS.tracked, EFFECTIVE, carry=CUSTOMER_CARRY,

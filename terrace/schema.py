@@ -34,7 +34,9 @@ REF_DAY = "ref_day"
 REF_DAY_PARTITION = "ref_day_partition"
 REF_FILE = "ref_file_extraction"
 REF_FILE_PARTITION = "ref_file_extraction_partition"
-RAW_PARTITIONS = (REF_DAY_PARTITION, REF_FILE_PARTITION)
+# The ingest unit (a stream epoch, or a whole drop): what a replay replaces.
+INGEST = "ingest_partition"
+RAW_PARTITIONS = (REF_DAY_PARTITION, REF_FILE_PARTITION, INGEST)
 
 
 @dataclass(frozen=True)

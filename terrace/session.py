@@ -2,8 +2,9 @@
 
 The cluster names its shared folder in ``spark.checkpoint.dir``; every
 derived table this package writes (landing drops, raw and trusted zones of
-the demo flows, checkpoints that cut lineage) goes below it.  A private
-folder is only created when the setting is absent (unit tests).
+the demo flows, checkpoints that cut lineage) goes below it.  Without the
+setting a local session gets a private folder (driver and executors are one
+process there); on a cluster that is an error.
 """
 
 from __future__ import annotations
@@ -55,7 +56,8 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Set our own (a fresh ``mktemp`` folder) only where the session has none.
+    Where the session names none, a local session gets a fresh folder of its
+    own; a cluster session fails, since executors cannot see the driver's disk.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
@@ -66,7 +68,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    root = tempfile.mkdtemp(prefix="run-")
     sc.setCheckpointDir(root)
     return root
 

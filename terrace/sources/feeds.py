@@ -26,6 +26,7 @@ BACK_EVERY = 14           # drop 3 moves those with key % 14 == 0 back
 NATIONS = 25              # the nation table's fixed size
 REF_DAY_1 = 20240111      # batch day of drops 1 and 2
 REF_DAY_2 = 20240112      # batch day of drop 3
+PROC_STAMP = 20240111000000
 BATCH_TS = dt.datetime(2024, 1, 11, 0, 0, 0)
 CUTOFF_STAMP = 19990101000000   # trusted snapshot holds files before it; later files are the batch
 CLOSE_AFTER_DAYS = 45
@@ -38,18 +39,9 @@ DELIVERED = "F"           # order status playing "delivered"
 REPLAYED_PRIORITY = "1-URGENT"
 
 
-_TABLES: dict[str, tuple[SparkSession, DataFrame]] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given (read-only) input table; the handle is reused within a session."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    hit = _TABLES.get(path)
-    if hit is None or hit[0] is not spark or spark.sparkContext._jsc is None:
-        hit = (spark, spark.read.parquet(path))
-        _TABLES[path] = hit
-    return hit[1]
-
+    """A given (read-only) input table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _days(ts: Column, n: int) -> Column:
@@ -86,9 +78,15 @@ def customer_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col(REF_FILE), F.col("drop_no"))
 
 
-def customer_observations(spark: SparkSession, sf_dir: str, drops=(1, 2, 3)) -> DataFrame:
-    """Customer drops as raw-zone observations, with the drop's effective time."""
+def customer_observations(spark: SparkSession, sf_dir: str, drops=(1, 2, 3),
+                          delta_drop: int | None = None) -> DataFrame:
+    """Customer drops as raw-zone observations, with the drop's effective time.
+
+    ``delta_drop``: this drop holds only the customers that may move.
+    """
     d = customer_drops(spark, sf_dir).where(F.col("drop_no").isin(list(drops)))
+    if delta_drop is not None:
+        d = d.where((F.col("drop_no") != delta_drop) | (F.col("customer_id").cast("bigint") % MOVE_EVERY == 0))
     ref_day = F.when(F.col("drop_no") < 3, F.lit(REF_DAY_1)).otherwise(F.lit(REF_DAY_2))
     return d.select(ref_day.alias(REF_DAY), F.col(REF_FILE),
                     F.to_timestamp_ntz(F.col(REF_FILE).cast("string"), F.lit("yyyyMMddHHmmss"))
@@ -140,11 +138,6 @@ def order_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.where(F.col(ORDER_KIND) != "replay").drop(ORDER_KIND)
 
 
-def order_replays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = order_feed(spark, sf_dir)
-    return f.where(F.col(ORDER_KIND) == "replay").drop(ORDER_KIND)
-
-
 def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_feed(spark, sf_dir).drop(ORDER_KIND)
 

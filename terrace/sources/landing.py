@@ -12,12 +12,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from terrace.schema import RAW_PARTITIONS, REF_DAY, REF_DAY_PARTITION, REF_FILE, REF_FILE_PARTITION
+from terrace.schema import INGEST, RAW_PARTITIONS, REF_DAY, REF_DAY_PARTITION, REF_FILE, REF_FILE_PARTITION
 
+WHOLE_DROP = "drop"      # ingest unit of a batch that holds whole drops
+LANDING_FILE = "landing_file"
 STAMP_PATTERN = r"_([0-9]{14})\.csv(/[^/]*)?$"
 
 
@@ -38,9 +41,13 @@ def csv_reader(spark: SparkSession, columns: Sequence[str]):
 
 
 def read_landing(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All-string landing rows plus ``ref_file_extraction`` parsed from the file path."""
-    df = csv_reader(spark, columns).csv(path)
-    return df.select(*columns, file_stamp(F.col("_metadata.file_path")).alias(REF_FILE))
+    """All-string landing rows plus ``ref_file_extraction`` and their file's path."""
+    return stamped(csv_reader(spark, columns).csv(path), columns)
+
+
+def stamped(scanned: DataFrame, columns: Sequence[str]) -> DataFrame:
+    path = F.col("_metadata.file_path")
+    return scanned.select(*columns, file_stamp(path).alias(REF_FILE), path.alias(LANDING_FILE))
 
 
 def to_raw(landing: DataFrame, columns: Sequence[str], ref_day: int) -> DataFrame:
@@ -56,8 +63,9 @@ def to_raw(landing: DataFrame, columns: Sequence[str], ref_day: int) -> DataFram
                     *[F.col(c).cast("string") for c in columns]))
 
 
-def rejected(landing: DataFrame) -> DataFrame:
-    return landing.where(F.col(REF_FILE).isNull())
+def rejected(landing: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of files whose name carries no stamp, with the file's path."""
+    return landing.where(F.col(REF_FILE).isNull()).select(*columns, LANDING_FILE)
 
 
 def drop_path(landing_root: str, folder: str, stamp: int) -> str:
@@ -65,29 +73,60 @@ def drop_path(landing_root: str, folder: str, stamp: int) -> str:
 
 
 def write_drop(df: DataFrame, landing_root: str, folder: str, stamp: int,
-               columns: Sequence[str]) -> str:
-    """Write one stamped drop (all-string CSV with header) and return its path."""
+               columns: Sequence[str], mode: str = "overwrite") -> str:
+    """Write one stamped drop (all-string CSV with header) and return its path.
+
+    ``mode="append"`` adds part files to a drop that has landed in part.
+    """
     path = drop_path(landing_root, folder, stamp)
     (df.select(*[F.col(c).cast("string") for c in columns])
-       .write.mode("overwrite").option("header", True).csv(path))
+       .write.mode(mode).option("header", True).csv(path))
     return path
 
 
-def write_raw(raw: DataFrame, raw_path: str) -> None:
+def write_raw(raw: DataFrame, raw_path: str, ingest: str = WHOLE_DROP) -> None:
     """Append a batch to the raw zone, idempotently.
 
-    Partitioned by (batch day, file stamp); dynamic partition overwrite
-    replaces only the partitions this batch writes, so a replayed drop
-    replaces itself instead of duplicating and other partitions stay.
+    Partitioned by (batch day, file stamp, ingest unit); dynamic partition
+    overwrite replaces only the partitions this batch writes.  A replayed
+    unit replaces itself; the parts of a drop that arrive in other units
+    stay.
     """
-    (raw.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*RAW_PARTITIONS).parquet(raw_path))
+    (raw.withColumn(INGEST, F.lit(ingest)).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(*RAW_PARTITIONS).parquet(raw_path))
+
+
+def write_rejected(rows: DataFrame, rejected_path: str, ingest: str) -> None:
+    """Keep what an ingest unit rejects; a replayed unit replaces its own folder."""
+    rows.write.mode("overwrite").parquet(f"{rejected_path}/{INGEST}={ingest}")
+
+
+def raw_schema(columns: Sequence[str]) -> StructType:
+    lineage = f"{REF_DAY} int, {REF_FILE} bigint"
+    parts = f"{REF_DAY_PARTITION} int, {REF_FILE_PARTITION} bigint, {INGEST} string"
+    return StructType([*StructType.fromDDL(lineage).fields, *landing_schema(columns).fields,
+                       *StructType.fromDDL(parts).fields])
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path``, or no rows where nothing was ever written."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
-def read_raw(spark: SparkSession, raw_path: str) -> DataFrame:
-    return spark.read.parquet(raw_path)
+def read_raw(spark: SparkSession, raw_path: str, columns: Sequence[str] | None = None,
+             with_ingest: bool = False) -> DataFrame:
+    """Raw rows; with ``columns``, an empty table where no drop was ever ingested."""
+    raw = (spark.read.parquet(raw_path) if columns is None
+           else read_or_empty(spark, raw_path, raw_schema(columns)))
+    return raw if with_ingest else raw.drop(INGEST)
 
 
-def read_batch(spark: SparkSession, raw_path: str, ref_day: int) -> DataFrame:
+def read_batch(spark: SparkSession, raw_path: str, ref_day: int,
+               columns: Sequence[str] | None = None) -> DataFrame:
     """Today's batch only: a partition filter, pruned at planning."""
-    return read_raw(spark, raw_path).where(F.col(REF_DAY_PARTITION) == F.lit(ref_day))
+    return read_raw(spark, raw_path, columns).where(F.col(REF_DAY_PARTITION) == F.lit(ref_day))

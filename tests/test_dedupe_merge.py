@@ -94,3 +94,24 @@ def test_insert_only_is_idempotent_and_keeps_target(spark, t, s):
     for r in rows(once):
         if r[0] in kept:
             assert r == kept[r[0]]
+
+
+def test_merge_reads_the_target_without_ranking_it(spark, tmp_path):
+    spark.range(5000).selectExpr("cast(id as string) k", "id v", "'x' payload").write.parquet(f"{tmp_path}/t")
+    target = spark.read.parquet(f"{tmp_path}/t")
+    batch = spark.createDataFrame([("1", 9999, "new"), ("z", 1, "ins"), (None, 1, "keyless")], SCHEMA)
+    for merge, updated in ((merge_upsert, 1), (merge_insert_only, 0)):
+        out = merge(target, batch, ["k"], "v", with_action=True)
+        assert out.count() == 5001
+        assert rows(out.groupBy("merge_action").count()) == sorted(
+            [("insert", 1), ("noop", 5000 - updated)] + [("update", 1)] * updated)
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        scan_of_target = [i for i, line in enumerate(plan.splitlines()) if "[k#" in line and "parquet" in line]
+        window = [i for i, line in enumerate(plan.splitlines()) if "Window" in line]
+        assert scan_of_target and window
+        # windows stand above the batch only: no scan of the target lies below one
+        lines = plan.splitlines()
+        depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+        for w in window:
+            below = next((i for i in range(w + 1, len(lines)) if depth(lines[i]) <= depth(lines[w])), len(lines))
+            assert not any(w < t < below for t in scan_of_target)

@@ -9,7 +9,7 @@ from terrace.functions.casts import typed_projection
 from terrace.schema import CUSTOMERS, ORDER_ITEMS
 from terrace.session import scratch_path
 from terrace.sources import landing
-from terrace.streaming.ingest import ingest_available
+from terrace.streaming.ingest import batch_rows, ingest_available
 from tests.conftest import rows
 
 
@@ -85,3 +85,50 @@ def test_reconcile_flags_missing_stamp(spark):
     raw = spark.createDataFrame([(1,), (1,), (3,)], "ref_file_extraction bigint")
     got = rows(reconcile(land, raw))
     assert got == [(1, 2, 2, True), (2, 1, 0, False), (3, 0, 1, False)]
+
+
+def _parts(spark, root, stamp, keys, mode="append"):
+    data = [(str(k), "u", "z", "c", "s") for k in keys]
+    df = spark.createDataFrame(data, ",".join(f"{c} string" for c in CUSTOMERS.landing)).repartition(len(data))
+    landing.write_drop(df, root, CUSTOMERS.folder, stamp, CUSTOMERS.landing, mode=mode)
+
+
+def test_drop_of_many_part_files_over_several_epochs_and_runs(spark):
+    root = scratch_path(spark, "parts")
+    folder, raw_path, ckpt = f"{root}/{CUSTOMERS.folder}", f"{root}/raw", f"{root}/_ckpt"
+    _parts(spark, root, 20240101000000, range(40))
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240111, max_files=7)
+    assert landing.read_raw(spark, raw_path).count() == 40
+    _parts(spark, root, 20240101000000, range(40, 47))
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240112, max_files=7)
+    got = landing.read_raw(spark, raw_path)
+    assert sorted(int(r.customer_id) for r in got.collect()) == list(range(47))
+    assert rows(got.groupBy("ref_day").count()) == [(20240111, 40), (20240112, 7)]
+
+
+def test_replayed_epoch_keeps_its_rows_and_day(spark):
+    import os
+    root = scratch_path(spark, "epoch")
+    folder, raw_path, ckpt = f"{root}/{CUSTOMERS.folder}", f"{root}/raw", f"{root}/_ckpt"
+    _parts(spark, root, 20240101000000, range(5))
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240111, batch_id="b1")
+    commits = f"{ckpt.removeprefix('file:')}/commits"
+    for f in os.listdir(commits):                   # as after a crash before the commit
+        os.remove(f"{commits}/{f}")
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240112, batch_id="b2")
+    raw = landing.read_raw(spark, raw_path)
+    assert rows(raw.groupBy("ref_day").count()) == [(20240111, 5)]
+    whole = landing.read_raw(spark, raw_path, with_ingest=True)
+    assert batch_rows(spark, whole, raw_path, "b1").count() == 5 and batch_rows(spark, whole, raw_path, "b2").count() == 0
+
+
+def test_unstamped_files_are_stored_and_a_missing_folder_is_no_drop(spark):
+    root = scratch_path(spark, "odd")
+    folder, raw_path, ckpt = f"{root}/{CUSTOMERS.folder}", f"{root}/raw", f"{root}/_ckpt"
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240111)
+    assert landing.read_raw(spark, raw_path, CUSTOMERS.landing).count() == 0
+    spark.createDataFrame([("1", "u", "z", "c", "s")], ",".join(f"{c} string" for c in CUSTOMERS.landing)) \
+        .write.option("header", True).csv(f"{folder}/{CUSTOMERS.folder}_latest.csv")
+    ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240111)
+    assert landing.read_raw(spark, raw_path, CUSTOMERS.landing).count() == 0
+    assert spark.read.parquet(f"{raw_path}_rejected").select("customer_id").collect()[0][0] == "1"

@@ -174,3 +174,47 @@ def test_hot_group_of_copies_collapses(spark):
                                  collapse_copies=True)
     assert not chunked and out.count() == 84          # 1 + 3 hot rows + 80 others
     assert hist(build(spark, data, rows_per_task=8)) == hist(build(spark, data))
+
+
+def test_hot_null_key_one_timestamp_and_string_order(spark):
+    from pyspark.sql import functions as F
+
+    from terrace.operators.neighbors import CHUNK, assign_chunks
+    schema = "k string, city string, ts string, stamp bigint"
+    data = [(None, "AB"[i % 2], f"t{i:03d}", i) for i in range(60)]          # NULL key, string order
+    data += [("one", "AB"[i % 2], "t5", i) for i in range(60)]              # one effective value
+    data += [("cold", "X", "t1", 1)]
+    df = spark.createDataFrame(data, schema)
+    order = ["ts", "city", "stamp"]
+    chunked, hot = assign_chunks(df, ["k"], order, rows_per_task=10)
+    assert hot
+    sizes = [r["count"] for r in chunked.where(F.col(CHUNK) >= 0).groupBy("k", CHUNK).count().collect()]
+    assert sum(sizes) == 120 and max(sizes) <= 20
+    assert len(sizes) <= 2 * 120 // 10 + 2
+    out = lambda **kw: rows(scd2_build(df, ["k"], ["city"], "ts", carry=["stamp"], **kw))
+    assert out(rows_per_task=10) == out()
+
+
+def test_scd2_changes_report_moved_starts(spark):
+    from terrace.operators.scd2 import scd2_changes
+    old = build(spark, [("a", "A", T(5), 5)], open_start=True)
+    new = build(spark, [("a", "A", T(5), 5), ("a", "Z", T(1), 1)], open_start=True)
+    got = rows(scd2_changes(old, new, ["k"], "stamp", ["city"]), "k", "stamp", "ts_start_date", "change_kind")
+    assert got == [("a", 1, None, "insert"), ("a", 5, T(5), "update")]
+
+
+FACTS = "fk string, at timestamp_ntz, n int"
+version_days = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.sampled_from(["A", "B", None]),
+                                  st.integers(1, 6)), min_size=0, max_size=8)
+fact_days = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(1, 7))),
+                     min_size=0, max_size=8)
+
+
+@settings(max_examples=12, deadline=None)
+@given(versions=version_days, facts=fact_days, open_start=st.booleans(), per_task=st.sampled_from([3, 1000]))
+def test_asof_equals_residual_with_ties_and_nulls(spark, versions, facts, open_start, per_task):
+    from terrace.operators.temporal import asof_left_join, residual_left_join
+    h = build(spark, [(k, c, T(d), i) for i, (k, c, d) in enumerate(versions)], open_start=open_start)
+    f = spark.createDataFrame([(k, None if d is None else T(d), i) for i, (k, d) in enumerate(facts)], FACTS)
+    args = (f, h, "fk", "k", "at", ["city", "stamp"])
+    assert rows(asof_left_join(*args, rows_per_task=per_task)) == rows(residual_left_join(*args))
