@@ -13,7 +13,8 @@ Only clauses with an insult or a threat are read token by token; one
 pattern (a trie of the lexicon) finds them in the whole text.
 
 Learning uses labelled rows with crc32(key) mod 5 other than 0, at most
-``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them (the first by a hash of the key).
+``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them (the first by a hash of the key), and
+of near copies one: a copied text's words would else look like evidence.
 Word starts are counted on the executors; the driver receives the lexicon
 candidates (``CANDIDATES`` at most) and one feature row per sampled text.
 
@@ -197,7 +198,7 @@ def choose_lexicon(counts: list[tuple[str, int, int, int, int]], n1: int, n0: in
             g2 = 2 * sum(o * np.log(o / e) for o, e in ((d1, n1 * share), (d0, n0 * share)) if o)
             weight = np.log((d1 + 0.5) / (n1 + 1)) - np.log((d0 + 0.5) / (n0 + 1))
             if g2 >= least and weight > 1.0:
-                best = max(best or (0.0, 0.0), (d1 / n1 - d0 / n0, float(min(TOP_WEIGHT, weight))))
+                best = max(best or (0.0, 0.0), (g2, float(min(TOP_WEIGHT, weight))))
         if best:
             scored.append((best[0], len(start), start, best[1]))
     chosen: dict[str, float] = {}
@@ -213,6 +214,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def family(text: Column) -> Column:
+    """Least hash of a text's long words, or of the text: the same for most near copies."""
+    low = F.lower(F.coalesce(text, F.lit("")))
+    words = F.transform(F.regexp_extract_all(low, F.lit(r"\p{L}{7,}"), F.lit(0)), lambda w: F.xxhash64(w))
+    return F.coalesce(F.array_min(words), F.xxhash64(low))
+
+
 COUNTS = ["d1", "d0", "r1", "r0"]
 
 
@@ -240,8 +248,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Grammar:
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = rows.where("toxic = 1").orderBy(*by_hash).limit(TOXIC_ROWS).unionByName(
         rows.where("toxic = 0").orderBy(*by_hash).limit(CLEAN_ROWS))        # bounded: broadcast below
-    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "toxic")
-             .repartition(24).persist())
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+             .select("text", "toxic", family(F.col("text")).alias("family"))
+             .dropDuplicates(["toxic", "family"]).select("text", "toxic").repartition(24).persist())
     try:
         seen = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
         n1, n0 = seen.get(1, 0), seen.get(0, 0)
