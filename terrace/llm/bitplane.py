@@ -1,7 +1,7 @@
 """Token ids in a bit-plane shuffled binary format (operator 10).
 
-Texts are encoded where they lie; the (key, ids) rows - two bytes an id -
-are range-partitioned by key, and each partition streams into one file:
+Texts are range-partitioned and sorted by key, then encoded, and each
+partition streams into one file:
 
     magic, then blocks of BLOCK ids: the block is transposed into 8 * width
     bit planes or ``width`` byte planes and each plane is compressed with
@@ -16,17 +16,19 @@ has a row per file.  Reading decodes a file block by block.
 Encoding goes by words: the tokenizer never joins across ASCII white space
 and never joins a letter with a following full stop or comma, so each
 distinct word of a batch is looked up in a bounded cache and only missing
-words are encoded, many to a call, set apart by a special token.
+words are encoded: plain Latin words by the vocabulary's merges alone, others
+many to a call, set apart by a special token.
 
 Defined cases: null text is empty and gets the end id alone; a null key
-comes first; rows with equal keys are ordered by their ids; a repeated row
-is written again; an empty table gives an empty result; other columns are
+comes first; rows with equal keys are ordered by a hash of their text, then
+the text; a repeated row is written again; an empty table gives an empty result; other columns are
 not read.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -46,9 +48,23 @@ END_ID = 2
 BLOCK = 1 << 16
 MAGIC = b"TRBPLN01"
 LEVEL = 3
-CACHE_WORDS = 700_000
+CACHE_WORDS = 500_000
 SEPARATOR = "<|startoftext|>"
 
+# Lower-case Latin letters without combining marks.
+SIMPLE = re.compile("[a-zß-öø-ÿ]+")
+
+
+def _byte_chars() -> dict[int, int]:
+    """The character that stands for each byte in a byte-level vocabulary: itself if
+    printable, else the next of the characters from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(other)}
+
+
+BYTE_CHARS = _byte_chars()
+
 
 # ------------------------------------------------------------------ planes
 def to_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -163,11 +179,16 @@ class WordEncoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
 
-    def _learn(self, words: list[str], into: dict[str, bytes], chunk: int = 2000) -> None:
-        plain = [w for w in words if "<|" not in w]
+    def _learn(self, words: list[str], into: dict[str, bytes], chunk: int = 200) -> None:
+        plain, merge = [], self.tokenizer.model.tokenize
         for w in words:
-            if "<|" in w:
+            if SIMPLE.fullmatch(w):                       # one pre-token, which no normalisation changes
+                ids = [t.id for t in merge(w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_CHARS))]
+                into[w] = np.array(ids, self.dtype).tobytes()
+            elif "<|" in w:
                 into[w] = self._ids(w).tobytes()
+            else:
+                plain.append(w)
         for i in range(0, len(plain), chunk):
             some = plain[i:i + chunk]
             ids = self._ids(f" {SEPARATOR} ".join(some))
@@ -196,8 +217,19 @@ class WordEncoder:
         return pc.binary_join(per_doc, pa.scalar(b"", pa.binary()))
 
 
+def in_order(docs: DataFrame) -> DataFrame:
+    """doc_id and text, range-partitioned and sorted by key; equal keys by a hash of their text.
+
+    Texts move, not ids: finding the ranges reads the input again, and
+    encoding is the dearer of the two.
+    """
+    keyed = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    return (keyed.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
+            .select("doc_id", "text"))
+
+
 def encoded(docs: DataFrame, path: str, end_id: int = END_ID, width: int = 2) -> DataFrame:
-    """doc_id, ids (little-endian bytes, the end id last) of every row."""
+    """doc_id, ids (little-endian bytes, the end id last) of every row, where it lies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = WordEncoder(path, width), pa.scalar(end_id.to_bytes(width, "little"), pa.binary())
         for b in batches:
@@ -212,7 +244,7 @@ def encoded(docs: DataFrame, path: str, end_id: int = END_ID, width: int = 2) ->
 # ----------------------------------------------------------- write and read
 def write_files(ids: DataFrame, folder: str, width: int = 2, kind: str = "byte",
                 block: int = BLOCK) -> DataFrame:
-    """Write ``ids`` in ascending doc_id order; returns the stored manifest (part, path, n_ids)."""
+    """Write ``ids``, a file per partition in its order; returns the stored manifest (part, path, n_ids)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
         part = TaskContext.get().partitionId()
@@ -234,9 +266,7 @@ def write_files(ids: DataFrame, folder: str, width: int = 2, kind: str = "byte",
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [name], "n_ids": [n]},
                                              pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64())]))
 
-    spread = ids.withColumn("tie", F.xxhash64("ids"))
-    ordered = spread.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "ids").select("doc_id", "ids")
-    return stored(ordered.mapInArrow(run, "part int, path string, n_ids bigint"), "manifest")
+    return stored(ids.mapInArrow(run, "part int, path string, n_ids bigint"), "manifest")
 
 
 def read_files(manifest: DataFrame, folder: str, rows: int = 2000) -> DataFrame:
@@ -274,5 +304,5 @@ def op10_bitplanes(spark: SparkSession, sf_dir: str, tokenizer: str | None = Non
         tokenizer = public_tokenizers.path(TOKENIZER)
     docs = table(prepare(spark), sf_dir, "documents")
     folder = scratch_path(spark, "token_planes")
-    manifest = write_files(encoded(docs, str(tokenizer)), folder)
+    manifest = write_files(encoded(in_order(docs), str(tokenizer)), folder)
     return read_files(manifest, folder)

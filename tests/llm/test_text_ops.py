@@ -163,11 +163,11 @@ def test_token_files_hold_every_id(spark):
     prepare(spark)
     path, plain = tokenizer()
     tricky = [(1, "It's U.S.A., e.g. ...%. x<|endoftext|>y <|ENDOFTEXT|>."), (2, "É é   \x1c z q İI K"),
-              (3, "a.b,c. .d ,"), (2, "twice"), (None, "no key"), (4, None), (5, "")]
+              (3, "a.b,c. .d , größe élan Élan naïve e\u0301té straße ÿ×÷ ß"), (2, "twice"), (None, "no key"), (4, None), (5, "")]
     docs = spark.createDataFrame(tricky, "doc_id long, text string").unionByName(
         documents(spark).selectExpr("doc_id + 100 AS doc_id", "text"))
     folder = scratch_path(spark, "planes")
-    got = bitplane.read_files(bitplane.write_files(bitplane.encoded(docs, path), folder), folder).collect()
+    got = bitplane.read_files(bitplane.write_files(bitplane.encoded(bitplane.in_order(docs), path), folder), folder).collect()
     want = {}
     for r in docs.collect():
         ids = np.array(plain.encode(r.text or "", add_special_tokens=False).ids + [2], "<u4")
@@ -191,7 +191,7 @@ def test_odd_and_empty_tables(spark):
     assert secrets.scan(odd, scratch_path(spark, "l1")).count() == n
     assert secrets.scan(none, scratch_path(spark, "l2")).count() == 0
     f1, f2 = scratch_path(spark, "f1"), scratch_path(spark, "f2")
-    assert bitplane.read_files(bitplane.write_files(bitplane.encoded(odd, path), f1), f1).count() == n
-    assert bitplane.read_files(bitplane.write_files(bitplane.encoded(none, path), f2), f2).count() == 0
+    assert bitplane.read_files(bitplane.write_files(bitplane.encoded(bitplane.in_order(odd), path), f1), f1).count() == n
+    assert bitplane.read_files(bitplane.write_files(bitplane.encoded(bitplane.in_order(none), path), f2), f2).count() == 0
     pages = spark.createDataFrame([], "page_id long, url string, html string, text string, host string, page string")
     assert html_text.extract(pages).count() == 0
