@@ -221,7 +221,8 @@ def extract(pages: DataFrame) -> DataFrame:
                          F.sha2(F.coalesce("html", F.lit("")), 256).alias("page"))
     counts = keyed.groupBy("host").agg(F.count_distinct("page").alias("m"))
     tree = stored(style_tree(keyed), "style_tree")
-    drops = low_blocks(tree, counts)
+    # Stored, so that its size is known: pages move only if the drops outgrow a broadcast.
+    drops = stored(low_blocks(tree, counts), "style_drops")
     joined = keyed.join(drops, ["host", "page"], "left").select("page_id", "url", "html", "drop")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
