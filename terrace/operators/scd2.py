@@ -30,6 +30,8 @@ from terrace.operators.neighbors import CHUNK, ROWS_PER_TASK, assign_chunks, nei
 START = "ts_start_date"
 END = "ts_end_date"
 ACTIVE = "flag_scd_active"
+LAST_SEEN = "ts_last_seen"      # on active versions: the key's latest effective time
+FIRST = "_first_version"
 
 
 def tracked_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
@@ -40,7 +42,7 @@ def tracked_differs(left: Sequence[Column], right: Sequence[Column]) -> Column:
 def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[str],
                effective: str, carry: Sequence[str] = (), tie: Sequence[str] | None = None,
                open_start: bool = False, rows_per_task: int = ROWS_PER_TASK,
-               rows_bound: int | None = None) -> DataFrame:
+               rows_bound: int | None = None, with_first: bool = False) -> DataFrame:
     """Versions of every key: keys, tracked, carry, ts_start_date, ts_end_date, flag_scd_active.
 
     ``carry`` columns are taken from the first observation of each version
@@ -48,7 +50,7 @@ def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[s
     ``tie`` orders observations that share an effective time (default: the
     tracked then carried columns), so the result is deterministic.
     ``rows_bound``: a proven bound of observations per key; a small one saves
-    the eager hot-key count.
+    the eager hot-key count.  ``with_first`` keeps the flag of a key's first version.
     """
     keys, tracked, carry = list(keys), list(tracked), list(carry)
     tie = list(tie) if tie is not None else [c for c in tracked + carry if c != effective]
@@ -63,15 +65,69 @@ def scd2_build(observations: DataFrame, keys: Sequence[str], tracked: Sequence[s
         [F.col(c) for c in tracked], [F.col("prev_" + c) for c in tracked])
     starts = (with_prev.where(changed)
                        .select(*cols, *([CHUNK] if chunked else []),
-                               (~F.col("prev__exists")).alias("_first_version")))
+                               (~F.col("prev__exists")).alias(FIRST)))
 
     versions = neighbors(starts, keys, order, nxt=[effective], chunked=chunked)
     start = F.col(effective)
     if open_start:
-        start = F.when(~F.col("_first_version"), start)
+        start = F.when(~F.col(FIRST), start)
     end = F.col("next_" + effective)
     return versions.select(*keys, *tracked, *[c for c in carry if c not in tracked],
-                           start.alias(START), end.alias(END), end.isNull().alias(ACTIVE))
+                           start.alias(START), end.alias(END), end.isNull().alias(ACTIVE),
+                           *([FIRST] if with_first else []))
+
+
+def with_last_seen(history: DataFrame, observations: DataFrame, keys: Sequence[str],
+                   effective: str) -> DataFrame:
+    """Add ``ts_last_seen`` to the active versions of a history built from ``observations``."""
+    last = observations.groupBy(*keys).agg(F.max(effective).alias("_last"))
+    return (history.join(last, list(keys), "left")
+            .withColumn(LAST_SEEN, F.when(F.col(ACTIVE), F.col("_last"))).drop("_last"))
+
+
+def scd2_apply(history: DataFrame, observations: DataFrame, batch: DataFrame, keys: Sequence[str],
+               tracked: Sequence[str], effective: str, carry: Sequence[str] = (),
+               open_start: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Apply a batch to a history that carries ``ts_last_seen``.
+
+    Keys whose batch is newer than all that was seen of them, and new keys,
+    continue from their active version: neither their closed versions nor the
+    raw zone are read for them.  Only keys with a late observation are rebuilt
+    from ``observations`` (which must include the batch).  Untouched keys and
+    closed versions of continued keys pass through.  One small eager job asks
+    whether any key is late.
+    """
+    keys, tracked, carry = list(keys), list(tracked), list(carry)
+    tie = [c for c in tracked + carry if c != effective]
+    active = history.where(F.col(ACTIVE))
+    seen = batch.groupBy(*keys).agg(F.min(effective).alias("_lo"), F.max(effective).alias("_hi"))
+    touched = seen.join(active.select(*keys, F.col(LAST_SEEN).alias("_last")), keys, "left")
+    late = touched.where(F.col("_lo") <= F.col("_last"))
+    on = touched.where(F.col("_last").isNull() | (F.col("_lo") > F.col("_last"))).select(*keys)
+
+    cols = list(dict.fromkeys(keys + tracked + carry))
+    no_time = F.lit(None).cast(dict(history.dtypes)[START])
+    resumed = active.join(on, keys, "left_semi").select(
+        *cols, F.col(LAST_SEEN).alias(effective), F.lit(True).alias("_old"), F.col(START).alias("_start"))
+    fresh = batch.join(on, keys, "left_semi").select(
+        *cols, F.col(effective), F.lit(False).alias("_old"), no_time.alias("_start"))
+    built = scd2_build(resumed.unionByName(fresh), keys, tracked, effective, [*carry, "_old", "_start"], tie,
+                       rows_per_task=rows_per_task, with_first=True)
+    start = F.when(F.col("_old"), F.col("_start"))
+    if open_start:
+        start = start.when(F.col(FIRST), no_time)
+    continued = built.withColumn(START, start.otherwise(F.col(START))).drop("_old", "_start", FIRST)
+    changed = continued
+    if not late.isEmpty():
+        changed = changed.unionByName(scd2_build(
+            observations.join(late.select(*keys), keys, "left_semi"), keys, tracked, effective, carry,
+            tie, open_start, rows_per_task))
+    last = touched.select(*keys, F.greatest("_last", "_hi").alias("_seen"))
+    changed = (changed.join(last, keys)
+               .withColumn(LAST_SEEN, F.when(F.col(ACTIVE), F.col("_seen"))).drop("_seen"))
+    passed = history.join(touched.select(*keys), keys, "left_anti").unionByName(
+        history.where(~F.col(ACTIVE)).join(on, keys, "left_semi"))
+    return passed.unionByName(changed)
 
 
 def scd2_rebuild_touched(history: DataFrame, observations: DataFrame, batch: DataFrame,

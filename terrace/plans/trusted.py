@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators.dedupe import latest_per_key
 from terrace.operators.merge import merge_insert_only, merge_upsert
-from terrace.operators.scd2 import scd2_build, scd2_rebuild_touched
+from terrace.operators.scd2 import scd2_apply, scd2_build, scd2_rebuild_touched, with_last_seen
 from terrace.schema import CUSTOMERS, REF_DAY, REF_FILE
 
 CUSTOMER_CARRY = [REF_DAY, REF_FILE, "customer_unique_id"]
@@ -52,3 +52,13 @@ def customer_history(obs: DataFrame, **kw) -> DataFrame:
 def customer_history_late(history: DataFrame, all_obs: DataFrame, batch: DataFrame, **kw) -> DataFrame:
     return scd2_rebuild_touched(history, all_obs, batch, CUSTOMERS.keys, CUSTOMERS.tracked,
                                 EFFECTIVE, carry=CUSTOMER_CARRY, open_start=True, **kw)
+
+
+def customer_history_seen(obs: DataFrame) -> DataFrame:
+    """The history with each key's latest effective time on its active version."""
+    return with_last_seen(customer_history(obs), obs, CUSTOMERS.keys, EFFECTIVE)
+
+
+def customer_history_next(history: DataFrame, all_obs: DataFrame, batch: DataFrame) -> DataFrame:
+    return scd2_apply(history, all_obs, batch, CUSTOMERS.keys, CUSTOMERS.tracked, EFFECTIVE,
+                      carry=CUSTOMER_CARRY, open_start=True)

@@ -218,3 +218,22 @@ def test_asof_equals_residual_with_ties_and_nulls(spark, versions, facts, open_s
     f = spark.createDataFrame([(k, None if d is None else T(d), i) for i, (k, d) in enumerate(facts)], FACTS)
     args = (f, h, "fk", "k", "at", ["city", "stamp"])
     assert rows(asof_left_join(*args, rows_per_task=per_task)) == rows(residual_left_join(*args))
+
+
+tied_obs = st.lists(st.tuples(st.sampled_from("abc"), st.sampled_from(["A", "B", None]), st.integers(1, 6)),
+                    min_size=0, max_size=9)
+
+
+@settings(max_examples=15, deadline=None)
+@given(early=tied_obs, batch=tied_obs, open_start=st.booleans())
+def test_applied_batch_equals_full_build(spark, early, batch, open_start):
+    from terrace.operators.scd2 import LAST_SEEN, scd2_apply, with_last_seen
+    first = spark.createDataFrame([(k, c, T(d), i) for i, (k, c, d) in enumerate(early)], OBS)
+    more = spark.createDataFrame([(k, c, T(d), 100 + i) for i, (k, c, d) in enumerate(batch)], OBS)
+    args = (["k"], ["city"], "ts")
+    history = with_last_seen(scd2_build(first, *args, carry=["stamp"], open_start=open_start), first, ["k"], "ts")
+    both = first.unionByName(more)
+    got = scd2_apply(history, both, more, *args, carry=["stamp"], open_start=open_start)
+    want = with_last_seen(scd2_build(both, *args, carry=["stamp"], open_start=open_start), both, ["k"], "ts")
+    cols = ["k", "city", "stamp", "ts_start_date", "ts_end_date", "flag_scd_active", LAST_SEEN]
+    assert rows(got, *cols) == rows(want, *cols)
