@@ -4,25 +4,34 @@ A document's set is its distinct 5-word shingles; documents link where
 100 * intersection >= 75 * union, and a component's id is its least doc_id.
 
 1. Equal sets become one class (their copies link at once).
-2. Classes that could link share a rare shingle: of a set of n shingles,
-   any set at least 0.75 similar holds one of its first n - ceil(0.75 n) + 1
-   in a fixed global order (frequent shingles last).  Classes that share
-   such a shingle fall into one cluster; no link crosses clusters.
-3. Per cluster, classes are packed into blocks of about ``BLOCK``; a block
+2. Shingles that occur in one class alone cannot be common to two.  A map
+   pass packs the shingles of a chunk of classes by hash range (about six
+   bytes each); a task per range counts them and gives back to each chunk
+   those that occur more than once.  A class with more than n - ceil(0.75 n)
+   shingles of its own links with nothing and goes no further.
+3. Of the rest, classes that could link share one of their first
+   n - ceil(0.75 n) + 1 shingles in a fixed order (rarest first, frequent
+   ones last); classes that share such a shingle fall into one cluster, and
+   no link crosses clusters.
+4. Per cluster, classes are packed into blocks of about ``BLOCK``; a block
    is a signature tree: leaves hold one class, nodes hold the OR of their
    token bitmaps, their size range and the greatest count of tokens that
    share a bit.  A dual traversal drops node pairs whose sizes cannot reach
    the similarity, or whose greatest possible overlap - common bits plus
    shared-bit tokens - is below what the smallest sizes need.  Surviving
-   leaf pairs are checked on the exact sets, unless already connected.
-4. Clusters of several blocks are packed anew with large components in
+   leaf pairs are checked on their shingles, unless already connected.
+5. Clusters of several blocks are packed anew with large components in
    blocks of their own, and every block pair that is not within one
    component and whose size ranges meet is traversed the same way.
 
 Only connections are made, never all pairs of a group; a group of near
-copies costs its traversals, which stop at what is connected.  The order in
-2 affects cost alone: frequent shingles are those counted often within some
-chunk of a task, over all rows; the ``HEAVY`` most frequent are broadcast.
+copies costs its traversals, which stop at what is connected.  Frequent
+shingles - those counted often within some chunk of a task, over all rows,
+the ``HEAVY`` most frequent - are broadcast and skip the count in 2, so no
+range gathers a shingle that a large share of all rows hold; they come last
+in the order.  Set sizes are exact; two shingles are told apart by 48 bits of
+their hashes (a chance of about 1e-9 for one wrong shingle in a pair of
+ordinary documents).
 
 Defined cases: null and empty texts and texts without words have an empty
 set, link with nothing and are their own component; a null doc_id never
@@ -32,11 +41,13 @@ rows; an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -47,6 +58,7 @@ from terrace.llm.shingles import shingle_sets
 
 HEAVY = 1 << 16             # frequent shingles broadcast (8 bytes each)
 CHUNK = 1 << 22             # shingles counted at a time
+TOKEN_BITS = 48             # of a shingle's hash, where classes are compared
 LEAST_COUNT = 16            # of a shingle in a chunk, to be called frequent
 BLOCK = 512                 # classes of a block
 FAN = 8                     # children of a tree node
@@ -98,61 +110,171 @@ def described(docs: DataFrame) -> DataFrame:
     return src.mapInArrow(run, out)
 
 
-def prefixes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
-    """(token, k8) of every class's prefix; a task skips sets it has met.
+# ------------------------------------------------- shingles that classes share
+def packed(tokens: np.ndarray, idx: np.ndarray) -> bytes:
+    """Ascending tokens as differences of as few bytes as they need, and a class number each."""
+    steps = np.diff(tokens, prepend=tokens[:1])
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    low = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return struct.pack("<BIQ", width, len(tokens), int(tokens[0])) + low.tobytes() + idx.astype("<u2").tobytes()
 
-    ``heavy``: frequent shingles, least frequent first.  ``k8`` are the first
-    8 bytes of a class's key: a clash only joins two clusters.
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    width, n, start = struct.unpack_from("<BIQ", data)
+    steps = np.zeros((n, 8), np.uint8)
+    steps[:, :width] = np.frombuffer(data, np.uint8, n * width, 13).reshape(n, width)
+    tokens = np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64) + np.uint64(start)
+    return tokens, np.frombuffer(data, "<u2", n, 13 + n * width)
+
+
+TOKENS, CLASSES = 0, 1
+PACKED = "bucket int, uid long, kind int, payload binary"
+
+
+def chunk_rows(docs: DataFrame, heavy: np.ndarray, buckets: int) -> DataFrame:
+    """Chunks of classes: their shingles by hash range, and a row for the classes themselves.
+
+    ``heavy``: frequent tokens, least frequent first; they stay with the
+    chunk's classes.  A task skips sets that it has met.
     """
     order = np.argsort(heavy)
-    known, rank = heavy[order], order + 1
+    known, rank = heavy[order], order
+    edges = np.array([-(-(k << TOKEN_BITS) // buckets) for k in range(buckets)], np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[bytes] = set()
-        for b in batches:
-            s, rows = shingle_sets(b.column(0))
-            at = _bounds(rows, b.num_rows)
-            n = np.diff(at)
-            keys, fresh = [b""] * b.num_rows, np.zeros(b.num_rows, bool)
-            for r in np.flatnonzero(n):
-                keys[r] = _key(s[at[r]:at[r + 1]])
-                fresh[r] = keys[r] not in met
-                met.add(keys[r])
-            own = fresh[rows]
-            s, rows = s[own], rows[own]
-            late = np.zeros(len(s), np.int64)
+        part, seq, met = TaskContext.get().partitionId(), 0, set()
+        keys, sizes, held, owner, size = [], [], [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            t, i = np.concatenate(held), np.concatenate(owner)
+            uid = int.from_bytes(blake2b(b"".join(keys) + struct.pack("<QQ", part, seq), digest_size=8).digest(),
+                                 "little", signed=True)
+            often, ranks = np.zeros(len(t), bool), np.empty(0, np.int64)
             if len(known):
-                where = np.minimum(np.searchsorted(known, s), len(known) - 1)
-                late = np.where(known[where] == s, rank[where], 0)
-            o = np.lexsort((s, late, rows))
-            s, rows = s[o], rows[o]
-            place = np.arange(len(s)) - _bounds(rows, b.num_rows)[rows]
-            first = place < (n - least_overlap(n) + 1)[rows]
-            k8 = np.array([int.from_bytes(k[:8], "big", signed=True) for k in keys], np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(s[first].view(np.int64)), pa.array(k8[rows[first]])], ["token", "k8"])
-
-    return docs.select("text").mapInArrow(run, "token long, k8 long")
+                at = np.minimum(np.searchsorted(known, t), len(known) - 1)
+                often = known[at] == t
+                ranks = rank[at[often]]
+            payload = struct.pack("<II", len(keys), int(often.sum())) + b"".join(keys) + \
+                np.array(sizes, "<u4").tobytes() + t[often].astype("<u8").tobytes() + \
+                i[often].astype("<u2").tobytes() + ranks.astype("<u4").tobytes()
+            out = [(uid % buckets, uid, CLASSES, payload)]
+            t, i = t[~often], i[~often]
+            o = np.argsort(t, kind="stable")
+            t, i = t[o], i[o]
+            cuts = np.append(np.searchsorted(t, edges), len(t))
+            for b in np.flatnonzero(np.diff(cuts)):
+                lo, hi = cuts[b], cuts[b + 1]
+                out.append((int(b), uid, TOKENS, packed(t[lo:hi], i[lo:hi])))
+            types = [pa.int32(), pa.int64(), pa.int32(), pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), types)],
+                                              ["bucket", "uid", "kind", "payload"])
+
+        for batch in batches:
+            s, rows = shingle_sets(batch.column(0))
+            at = _bounds(rows, batch.num_rows)
+            number = np.full(batch.num_rows, -1)
+            for r in np.flatnonzero(np.diff(at)):
+                key = _key(s[at[r]:at[r + 1]])
+                if key not in met:
+                    met.add(key)
+                    number[r] = len(keys)
+                    keys.append(key)
+                    sizes.append(int(at[r + 1] - at[r]))
+            own = number[rows] >= 0
+            held.append(s[own] >> np.uint64(64 - TOKEN_BITS))
+            owner.append(number[rows[own]])
+            size += int(own.sum())
+            if size >= CHUNK or len(keys) > 60_000:
+                yield flush()
+                keys, sizes, held, owner, size, seq = [], [], [], [], 0, seq + 1
+        if keys:
+            yield flush()
+
+    return docs.select("text").mapInArrow(run, PACKED)
+
+
+def _shared(bucket: pa.Table) -> pa.Table:
+    """Tokens of a hash range that occur more than once, back by chunk; class rows pass."""
+    rows = bucket.select(["uid", "kind", "payload"]).to_pylist()
+    out = [(r["uid"], CLASSES, r["payload"]) for r in rows if r["kind"] == CLASSES]
+    chunks = [(r["uid"], *unpacked(r["payload"])) for r in rows if r["kind"] == TOKENS]
+    if chunks:
+        t = np.concatenate([c[1] for c in chunks])
+        i = np.concatenate([c[2] for c in chunks])
+        of = np.repeat(np.arange(len(chunks)), [len(c[1]) for c in chunks])
+        _, at, seen = np.unique(t, return_inverse=True, return_counts=True)
+        seen = seen[at]
+        more = np.flatnonzero(seen > 1)
+        t, i, of, seen = t[more], i[more], of[more], np.minimum(seen[more], 65535)
+        cuts = np.searchsorted(of, np.arange(len(chunks) + 1))
+        for c, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+            if hi > lo:
+                data = packed(t[lo:hi], i[lo:hi])
+                out.append((chunks[c][0], TOKENS, struct.pack("<I", len(data)) + data + seen[lo:hi].astype("<u2").tobytes()))
+    columns = list(zip(*out)) or [(), (), ()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, [pa.int64(), pa.int32(), pa.binary()])],
+                    names=["uid", "kind", "payload"])
+
+
+CANDIDATE = "key binary, k8 long, n long, shingles binary, prefix array<long>"
+
+
+def _candidates(chunk: pa.Table) -> pa.Table:
+    """Classes of a chunk that have too few shingles of their own to be without links."""
+    t, i, seen, keys, n = [], [], [], [], np.empty(0, np.int64)
+    for kind, data in zip(chunk.column("kind").to_pylist(), chunk.column("payload").to_pylist()):
+        if kind == CLASSES:
+            m, h = struct.unpack_from("<II", data)
+            keys = [data[8 + 16 * k:24 + 16 * k] for k in range(m)]
+            at = 8 + 16 * m
+            n = np.frombuffer(data, "<u4", m, at).astype(np.int64)
+            t.append(np.frombuffer(data, "<u8", h, at + 4 * m))
+            i.append(np.frombuffer(data, "<u2", h, at + 4 * m + 8 * h))
+            seen.append(np.frombuffer(data, "<u4", h, at + 4 * m + 10 * h).astype(np.int64) + (1 << 16))
+        else:
+            size, = struct.unpack_from("<I", data)
+            tokens, idx = unpacked(data[4:4 + size])
+            t.append(tokens)
+            i.append(idx)
+            seen.append(np.frombuffer(data, "<u2", len(tokens), 4 + size).astype(np.int64))
+    t, i, seen = np.concatenate(t), np.concatenate(i), np.concatenate(seen)
+    o = np.lexsort((t, seen, i))
+    t, i = t[o], i[o]
+    at = np.searchsorted(i, np.arange(len(keys) + 1))
+    need = n - least_overlap(n) + 1 - (n - np.diff(at))
+    out = []
+    for c in np.flatnonzero(need > 0):
+        own = t[at[c]:at[c + 1]]
+        out.append((keys[c], int.from_bytes(keys[c][:8], "big", signed=True), int(n[c]), np.sort(own).tobytes(),
+                    own[:need[c]].astype(np.int64)))
+    columns = list(zip(*out)) or [()] * 5
+    types = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, types)], names=["key", "k8", "n", "shingles", "prefix"])
 
 
 # -------------------------------------------------------------- signature tree
 class SignatureTree:
-    """Levels of nodes over sets, leaves first; a node covers ``FAN`` of the level below."""
+    """Levels of nodes over sets, leaves first; a node covers ``FAN`` of the level below.
 
-    def __init__(self, sets: list[np.ndarray], bits: int):
-        order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), len(sets[i])))
+    A level holds, per node: the OR of the bitmaps, the least and greatest
+    size, the most shared shingles, and the most of them that share a bit.
+    """
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, bits: int):
+        order = sorted(range(len(sets)), key=lambda i: (int(sets[i][0]), sizes[i]))
         self.order = np.array(order)
-        n = np.array([len(sets[i]) for i in order])
+        n, shared = sizes[self.order], np.array([len(sets[i]) for i in order])
         maps = np.zeros((len(sets), bits // 64), np.uint64)
         for r, i in enumerate(order):
-            at = (sets[i] >> np.uint64(17)) & np.uint64(bits - 1)
+            at = (sets[i] >> np.uint64(11)) & np.uint64(bits - 1)
             np.bitwise_or.at(maps[r], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        slack = n - np.bitwise_count(maps).sum(axis=1)
-        self.levels = [(maps, n, n, slack)]
+        slack = shared - np.bitwise_count(maps).sum(axis=1)
+        self.levels = [(maps, n, n, shared, slack)]
         while len(self.levels[-1][1]) > 1:
-            maps, low, high, slack = self.levels[-1]
+            maps, low, high, shared, slack = self.levels[-1]
             cut = np.arange(0, len(low), FAN)
             self.levels.append((np.bitwise_or.reduceat(maps, cut), np.minimum.reduceat(low, cut),
-                                np.maximum.reduceat(high, cut), np.maximum.reduceat(slack, cut)))
+                                *(np.maximum.reduceat(x, cut) for x in (high, shared, slack))))
 
 
 def possible(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, step: int = 2048) -> np.ndarray:
@@ -162,7 +284,7 @@ def possible(x: tuple, y: tuple, i: np.ndarray, j: np.ndarray, step: int = 2048)
     for k in range(0, len(live), step):
         a, b = i[live[k:k + step]], j[live[k:k + step]]
         common = np.bitwise_count(x[0][a] & y[0][b]).sum(axis=1, dtype=np.int64)
-        overlap = np.minimum(np.minimum(x[2][a], y[2][b]), common + np.minimum(x[3][a], y[3][b]))
+        overlap = np.minimum(np.minimum(x[3][a], y[3][b]), common + np.minimum(x[4][a], y[4][b]))
         ok[live[k:k + step]] = 7 * overlap >= 3 * (x[1][a] + y[1][b])
     return ok
 
@@ -210,18 +332,22 @@ class Union:
         return i
 
 
-def linked(sets: list[np.ndarray], labels: list, split: int | None = None) -> list[tuple[int, int]]:
+def linked(sets: list[np.ndarray], sizes: list[int], labels: list, split: int | None = None) -> list[tuple[int, int]]:
     """Links that connect ``sets`` as all their links would, given what ``labels`` connect.
 
-    With ``split``, only pairs between the first ``split`` sets and the rest.
+    ``sizes`` are whole set sizes; ``sets`` hold the shingles that occur in
+    more than one class.  With ``split``, only pairs between the first
+    ``split`` sets and the rest.
     """
     most = max((len(s) for s in sets), default=0)
     bits = 1 << min(16, max(10, (4 * most - 1).bit_length()))
+    sizes = np.array(sizes, np.int64)
     if split is None:
-        x = y = SignatureTree(sets, bits)
+        x = y = SignatureTree(sets, sizes, bits)
         shift = 0
     else:
-        x, y, shift = SignatureTree(sets[:split], bits), SignatureTree(sets[split:], bits), split
+        x, y = SignatureTree(sets[:split], sizes[:split], bits), SignatureTree(sets[split:], sizes[split:], bits)
+        shift = split
     union, links = Union(labels), []
     for left, right in candidates(x, y):
         for a, b in zip(left.tolist(), (right + shift).tolist()):
@@ -229,7 +355,7 @@ def linked(sets: list[np.ndarray], labels: list, split: int | None = None) -> li
             if ra == rb:
                 continue
             both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-            if 7 * both >= 3 * (len(sets[a]) + len(sets[b])):
+            if 7 * both >= 3 * (sizes[a] + sizes[b]):
                 union.up[max(ra, rb)] = min(ra, rb)
                 links.append((a, b))
     return links
@@ -249,7 +375,7 @@ def _sets(column: pa.ChunkedArray) -> list[np.ndarray]:
 
 def _within(block: pa.Table) -> pa.Table:
     keys, sets = block.column("key").to_pylist(), _sets(block.column("shingles"))
-    return _link_table(keys, linked(sets, keys))
+    return _link_table(keys, linked(sets, block.column("n").to_pylist(), keys))
 
 
 def _between(pair: pa.Table) -> pa.Table:
@@ -257,13 +383,20 @@ def _between(pair: pa.Table) -> pa.Table:
     pair = pair.sort_by("side")
     keys, labels = pair.column("key").to_pylist(), pair.column("part").to_pylist()
     left = pair.column("side").to_pylist().count("i")
-    return _link_table(keys, linked(_sets(pair.column("shingles")), labels, split=left))
+    return _link_table(keys, linked(_sets(pair.column("shingles")), pair.column("n").to_pylist(), labels, split=left))
 
 
 # ------------------------------------------------------------------------ join
-def clusters(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
+def candidate_classes(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
+    """key, k8, n, shingles (those in more than one class), prefix of classes that may link."""
+    buckets = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shared = chunk_rows(docs, heavy, buckets).groupBy("bucket").applyInArrow(_shared, "uid long, kind int, payload binary")
+    return shared.groupBy("uid").applyInArrow(_candidates, CANDIDATE)
+
+
+def clusters(classes: DataFrame) -> DataFrame:
     """k8, cluster of classes that share a prefix shingle with another class."""
-    postings = prefixes(docs, heavy)
+    postings = classes.select("k8", F.explode("prefix").alias("token"))
     shared = (postings.groupBy("token").agg(F.min("k8").alias("lo"), F.max("k8").alias("hi"))
               .where("lo != hi").select("token", "lo"))
     edges = postings.join(shared, "token").where("k8 != lo").select(F.col("k8").alias("u"), F.col("lo").alias("v"))
@@ -272,38 +405,12 @@ def clusters(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
         parts.select(F.col("v").alias("k8"), F.col("v").alias("cluster")).distinct())
 
 
-def cluster_sets(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
-    """cluster, key, n, shingles of the classes in clusters, computed again from one text each."""
-    k8 = F.conv(F.hex(F.substring("key", 1, 8)), 16, -10).cast("long")
-    wanted = classes.where("n > 0").withColumn("k8", k8).join(members, "k8").select(
-        F.col("rep").alias("rep"), "key", "cluster")
-    texts = (docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")))
-             .select("text", "key", "cluster"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met: set[bytes] = set()
-        for b in batches:
-            s, rows = shingle_sets(b.column(0))
-            at, out = _bounds(rows, b.num_rows), []
-            for r, (key, cluster) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist())):
-                own = s[at[r]:at[r + 1]]
-                if key not in met and _key(own) == key:      # rows may repeat a doc_id
-                    met.add(key)
-                    out.append((cluster, key, len(own), own.tobytes()))
-            if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64(), pa.binary(), pa.int64(), pa.binary()])],
-                    ["cluster", "key", "n", "shingles"])
-
-    return texts.mapInArrow(run, "cluster long, key binary, n long, shingles binary")
-
-
 def links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     """u, v: links that connect the classes as all links would."""
     size = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     blocked = sets.join(size, "cluster").withColumn(
         "blk", F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / block)).cast("int"))
-    first = stored(blocked.select("cluster", "blk", "key", "shingles").groupBy("cluster", "blk")
+    first = stored(blocked.select("cluster", "blk", "key", "n", "shingles").groupBy("cluster", "blk")
                    .applyInArrow(_within, LINKS), "links_within")
     wide = stored(blocked.where(F.col("members") > block).select("cluster", "key", "n", "shingles"), "wide_clusters")
     if wide.isEmpty():
@@ -332,7 +439,7 @@ def _links_across(wide: DataFrame, parts: DataFrame, block: int) -> DataFrame:
     def side(which: str) -> DataFrame:
         at = pairs.select(F.col("cluster").alias("pc"), "i", "j", F.col(which).alias("at"))
         return (placed.join(at, (F.col("cluster") == F.col("pc")) & (F.col("blk") == F.col("at")))
-                .select(*by, "key", "part", "shingles", F.lit(which).alias("side")))
+                .select(*by, "key", "n", "part", "shingles", F.lit(which).alias("side")))
 
     met = side("i").unionByName(side("j")).groupBy(*by).applyInArrow(_between, LINKS)
     return stored(met, "links_across")
@@ -346,8 +453,9 @@ def near_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     heavy = np.array([r["token"] for r in reversed(counted)], np.int64).view(np.uint64)
     own = rows.where("key IS NOT NULL").select("doc_id", "key", "n")
     classes = stored(own.groupBy("key", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    members = stored(clusters(docs, heavy), "clusters")
-    sets = stored(cluster_sets(docs, classes, members), "cluster_sets")
+    shared = stored(candidate_classes(docs, heavy >> np.uint64(64 - TOKEN_BITS)), "candidate_classes")
+    sets = stored(shared.drop("prefix").join(clusters(shared), "k8").dropDuplicates(["key"])
+                  .select("cluster", "key", "n", "shingles"), "cluster_sets")
     parts = components(links(sets, block))
     tied = parts.unionByName(parts.select(F.col("v").alias("u"), "v").distinct())
     tied = tied.join(classes.select(F.col("key").alias("u"), "rep"), "u")

@@ -127,11 +127,19 @@ def test_ngram_components_of_documents_and_odd_rows(spark):
     assert ngram_join.near_components(empty_docs(spark)).count() == 0
 
 
+def test_packed_tokens_round_trip():
+    rng = np.random.default_rng(4)
+    for n in (1, 2, 5000):
+        tokens, idx = np.sort(rng.integers(0, 2**48, n, dtype=np.uint64)), rng.integers(0, 65536, n).astype(np.uint16)
+        t, i = ngram_join.unpacked(ngram_join.packed(tokens, idx))
+        assert (t == tokens).all() and (i == idx).all()
+
+
 def test_tree_bound_never_drops_a_link():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**64, 60, dtype=np.uint64)
     sets = [np.unique(rng.choice(pool, rng.integers(1, 50))) for _ in range(150)]
-    trees = ngram_join.SignatureTree(sets, 64)
+    trees = ngram_join.SignatureTree(sets, np.array([len(x) for x in sets]), 64)
     found = {frozenset(p) for a, b in ngram_join.candidates(trees, trees) for p in zip(a.tolist(), b.tolist())}
     for a, b in itertools.combinations(range(len(sets)), 2):
         both = len(np.intersect1d(sets[a], sets[b]))
