@@ -410,8 +410,9 @@ def links(sets: DataFrame, block: int = BLOCK) -> DataFrame:
     size = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("members"))
     blocked = sets.join(size, "cluster").withColumn(
         "blk", F.pmod(F.xxhash64("key"), F.ceil(F.col("members") / block)).cast("int"))
-    first = stored(blocked.select("cluster", "blk", "key", "n", "shingles").groupBy("cluster", "blk")
-                   .applyInArrow(_within, LINKS), "links_within")
+    # Dealt by block: the join's dealing by cluster would leave a wide cluster in one task.
+    dealt = blocked.select("cluster", "blk", "key", "n", "shingles").repartition("cluster", "blk")
+    first = stored(dealt.groupBy("cluster", "blk").applyInArrow(_within, LINKS), "links_within")
     wide = stored(blocked.where(F.col("members") > block).select("cluster", "key", "n", "shingles"), "wide_clusters")
     if wide.isEmpty():
         return first
