@@ -13,11 +13,11 @@ The tree is a few grouped counts over (host, path, block) digests; the
 texts stay where they are.  Exact copies of a page count once, so a
 republished article does not become a template.
 
-What markup declares comes first: raw and hidden elements are dropped;
-navigation, footers, forms, asides and containers named as such (menus,
-notices, adverts, comments and so on) have importance 0; where a page has
-an article or main element, only blocks inside it count, and those have
-importance 1.  Entropy decides the rest.
+Every block of every page is in the tree; what markup declares only raises or
+lowers a block's importance (``SHIFT``): up inside an article or main element;
+down in containers named as menus, notices, adverts, comments and so on; far
+down in navigation, footers, asides and hidden elements, and outside of the
+article on a page that has one.  Pages of a host with the same blocks that count are one page.
 
 Defined cases: null html is empty (text empty); null url has host ``''``; a
 host with fewer than ``LEAST_PAGES`` distinct pages has no evidence of
@@ -41,12 +41,14 @@ from pyspark.sql.types import StructField, StructType
 from terrace.llm.common import prepare, stored, table
 
 LEAST_PAGES = 3             # distinct pages of a host before entropy counts
-LOW_BLOCK, LOW_PATH = 0.35, 0.35
+LOW = 0.35                  # a block of less importance is removed
 CONTENT_SHARE = 0.8         # of a path's importance; the rest is presentation
+NO_EVIDENCE = 0.8           # importance where the tree says nothing
 
 RAW = "script style noscript template svg iframe object canvas select textarea button title math audio video"
 SKIPPED = frozenset("head select datalist map".split())
-BOILER_TAGS = frozenset("nav footer aside form dialog menu fieldset".split())
+BOILER_TAGS = frozenset("nav footer aside".split())
+NAMED_TAGS = frozenset("form dialog menu fieldset".split())
 MAIN_TAGS = frozenset("article main".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr br img".split())
@@ -57,14 +59,15 @@ BOILER_WORDS = frozenset(
     "navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended "
     "comment comments disqus replies widget pagination pager toolbar search copyright hidden".split())
+NAME_PART = re.compile(r"[a-z]+")
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW.split()) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))"
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-NAME_PART = re.compile(r"[a-z]+")
 
-MAIN, PLAIN, BOILER = 2, 1, 0
+BOILER, OUTSIDE, NAMED, PLAIN, MAIN = range(5)
+SHIFT = [-1.0, -0.7, -0.5, 0.0, 0.2]        # of importance, by standing
 
 
 def _names(tag: str, attributes: str) -> tuple[str, set[str], bool]:
@@ -83,23 +86,19 @@ def _names(tag: str, attributes: str) -> tuple[str, set[str], bool]:
 
 def blocks(page: str) -> list[tuple[str, int, str]]:
     """(style path, standing, text) of every non-empty text block, in page order."""
-    out: list[tuple[str, int, str]] = []
-    stack: list[tuple[str, str, int]] = []           # tag, style name, standing
+    out: list[tuple[str, bool, bool, tuple, str]] = []          # path, boiler, in main, names, text
+    stack: list[tuple] = []                          # tag, style name, boiler, in main, names (serials)
     parts: list[str] = []
-    standing, at = PLAIN, 0
+    at, serial = 0, 0
 
     def end_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
-            if text and standing is not None:
-                out.append((">".join(s[1] for s in stack), standing, text))
+            if text:
+                state = stack[-1][2:] if stack else (False, False, ())
+                out.append((">".join(s[1] for s in stack), *state, text))
             parts.clear()
 
-    def close(index: int) -> None:
-        nonlocal standing
-        del stack[index:]
-        standing = stack[-1][2] if stack else PLAIN
-
     for m in TOKEN.finditer(page):
         if m.start() > at:
             parts.append(page[at:m.start()])
@@ -114,7 +113,7 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
             end_block()
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    close(i)
+                    del stack[i:]
                     break
             continue
         if tag == "br":
@@ -123,36 +122,46 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
             if tag == "hr":
                 end_block()
             continue
+        closed = m[4].endswith("/")
         style, words, hidden = _names(tag, m[4])
-        boiler = hidden or tag in BOILER_TAGS or tag in SKIPPED or bool(words & BOILER_WORDS) \
+        boiler = hidden or tag in BOILER_TAGS or tag in SKIPPED \
             or tag == "header" and not any(s[0] in MAIN_TAGS for s in stack)
-        if tag in INLINE and not boiler or m[4].endswith("/") and tag in INLINE:
+        if tag in INLINE and not boiler and not words & BOILER_WORDS or closed and tag in INLINE:
             continue
         end_block()
         if tag in SELF_CLOSING:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
-                    close(i)
+                    del stack[i:]
                     break
                 if stack[i][0] not in SELF_CLOSING and stack[i][0] not in INLINE:
                     break
         elif stack and stack[-1][0] == "p" and tag not in INLINE:
-            close(len(stack) - 1)
+            stack.pop()
         if tag in ("body", "article", "main"):        # a head or menu left open ends here
             for i, s in enumerate(stack):
                 if s[0] in ("head", "nav", "header", "menu"):
-                    close(i)
+                    del stack[i:]
                     break
-        if boiler or standing == BOILER:
-            standing = BOILER
-        elif tag in MAIN_TAGS:
-            standing = MAIN
-        stack.append((tag, style, standing))
+        _, _, up_boiler, in_main, names = stack[-1] if stack else ("", "", False, False, ())
+        if tag in MAIN_TAGS:
+            in_main = True
+        if tag in NAMED_TAGS or words & BOILER_WORDS:
+            serial += 1
+            names = (*names, serial)
+        stack.append((tag, style, boiler or up_boiler, in_main, names))
     if at < len(page):
         rest = page[at:]
         parts.append(rest[:rest.find("<")] if re.match(r"[^<]*<[a-zA-Z/!][^>]*\Z", rest) else rest)
     end_block()
-    return out
+    return _standings([(path, boiler, main, bool(names), text)
+                       for path, boiler, main, names, text in out])
+
+
+def _standings(found: list[tuple[str, bool, bool, bool, str]]) -> list[tuple[str, int, str]]:
+    has_main = any(main and not boiler for _, boiler, main, _, _ in found)
+    return [(path, BOILER if boiler else OUTSIDE if main != has_main else NAMED if named
+             else MAIN if main else PLAIN, text) for path, boiler, main, named, text in found]
 
 
 def digest(text: str) -> int:
@@ -163,67 +172,85 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+TREE = pa.schema([("host", pa.int64()), ("page", pa.int64()), ("content", pa.int64()), ("blocks", pa.list_(pa.struct(
+    [("path", pa.int64()), ("block", pa.int64()), ("shape", pa.int64()), ("standing", pa.int8())])))])
+TREE_SQL = "host long, page long, content long, blocks array<struct<path:long,block:long,shape:long,standing:tinyint>>"
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """Undecided blocks of each distinct page: host, page, pos, path, block, shape (digests)."""
+    """All blocks (digests) of each page, and the digest of those that count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            hosts, keys, rows = b.column(0), b.column(1), []
-            for n, text in enumerate(b.column(2).to_pylist()):
+            rows, contents = [], []
+            for text in b.column(2).to_pylist():
                 found = blocks(text or "")
-                if any(s == MAIN for _, s, _ in found):
-                    continue                           # markup decides this page
                 shapes: dict[str, list[str]] = {}
                 for path, _, _ in found:
                     up, _, tail = path.rpartition(">")
                     shapes.setdefault(up, []).append(tail)
-                for pos, (path, s, block) in enumerate(found):
-                    if s == PLAIN:
-                        shape = digest(" ".join(shapes[path.rpartition(">")[0]]))
-                        rows.append((hosts[n].as_py(), keys[n].as_py(), pos, digest(path), digest(block), shape))
-            if rows:
-                kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                                 ["host", "page", "pos", "path", "block", "shape"])
-
-    src = pages.select("host", "page", "html")
-    return src.mapInArrow(run, "host string, page string, pos int, path long, block long, shape long")
-
-
-def low_blocks(tree: DataFrame, page_counts: DataFrame) -> DataFrame:
-    """host, page, drop: positions of each page's blocks of low importance."""
-    per_block = tree.groupBy("host", "path", "block").agg(F.count_distinct("page").alias("c"))
-    per_block = (per_block.join(page_counts, "host")
-                 .withColumn("entropy", F.when(F.col("m") > 1, F.log("c") / F.log("m")).otherwise(0.0)))
-    content = per_block.groupBy("host", "path").agg((1 - F.avg("entropy")).alias("content"))
-    shapes = tree.groupBy("host", "path", "shape").agg(F.count_distinct("page").alias("s"))
+                shape = {up: digest(" ".join(tails)) for up, tails in shapes.items()}
+                row = [{"path": digest(path), "block": digest(block), "shape": shape[path.rpartition(">")[0]],
+                        "standing": s} for path, s, block in found]
+                contents.append(digest(repr([tuple(r.values()) for r in row if r["standing"] >= NAMED])))
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(contents, pa.int64()),
+                                              pa.array(rows, TREE.field("blocks").type)], schema=TREE)
+
+    return pages.select("host", "page", "html").mapInArrow(run, TREE_SQL)
+
+
+def flips(tree: DataFrame) -> DataFrame:
+    """host, page, flip: positions where a page's tree decides otherwise than markup alone."""
+    one = stored(tree.dropDuplicates(["host", "content"]).select("host", "blocks"), "style_pages")
+    m = one.groupBy("host").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= LEAST_PAGES)
+
+    def pages_with(field: str) -> DataFrame:
+        pairs = F.array_distinct(F.transform("blocks", lambda x: F.struct(x["path"], x[field])))
+        return (one.select("host", F.explode(pairs).alias("x")).select("host", "x.*")
+                .groupBy("host", "path", field).agg(F.count(F.lit(1)).alias("c")))
+
+    per_block = stored(pages_with("block"), "style_blocks")
+    content = per_block.groupBy("host", "path").agg(F.avg(F.log("c")).alias("log_c"))
     # entropy of the child structure, in the base of the pages that have the path
-    spread = (shapes.groupBy("host", "path").agg(
-        F.sum("s").alias("all"), F.sum(F.col("s") * F.log("s")).alias("sum"))
+    spread = (pages_with("shape").groupBy("host", "path").agg(
+        F.sum("c").alias("all"), F.sum(F.col("c") * F.log("c")).alias("sum"))
         .withColumn("presentation", F.when(F.col("all") > 1, (F.log("all") - F.col("sum") / F.col("all")) / F.log("all"))
                     .otherwise(1.0)))
-    paths = content.join(spread, ["host", "path"]).select(
-        "host", "path", (CONTENT_SHARE * F.col("content") + (1 - CONTENT_SHARE) * F.col("presentation")).alias("importance"))
-    low = (per_block.where(F.col("m") >= LEAST_PAGES).join(paths, ["host", "path"])
-           .where((1 - F.col("entropy") < LOW_BLOCK) | (F.col("importance") < LOW_PATH))
-           .select("host", "path", "block"))
-    return tree.join(low, ["host", "path", "block"]).groupBy("host", "page").agg(F.collect_list("pos").alias("drop"))
-
-
-def kept_text(page: str, drop: set[int]) -> str:
-    found = blocks(page)
-    main = any(s == MAIN for _, s, _ in found)
-    return "\n".join(t for i, (_, s, t) in enumerate(found) if (s == MAIN if main else s == PLAIN and i not in drop))
+    paths = content.join(spread, ["host", "path"]).join(m, "host").select(
+        "host", "path", "m", "all", (CONTENT_SHARE * (1 - F.col("log_c") / F.log("m"))
+                                     + (1 - CONTENT_SHARE) * F.col("presentation")).alias("importance"))
+    found = (per_block.join(stored(paths, "style_paths"), ["host", "path"])
+             .withColumn("importance", F.least(1 - F.log("c") / F.log("m"), "importance")))
+    shift = lambda s: F.lit(SHIFT[s])
+    gone, plain_gone = F.col("importance") + shift(MAIN) < LOW, F.col("importance") + shift(PLAIN) < LOW
+    named_stays = (F.col("importance") + shift(NAMED) >= LOW) & (F.col("all") >= LEAST_PAGES)
+    decided = found.select("host", "path", "block", F.filter(F.array(
+        F.when(gone, MAIN), F.when(plain_gone, PLAIN), F.when(named_stays, NAMED)), lambda s: s.isNotNull()).alias("standings"))
+    named = (tree.select("host", F.explode("blocks").alias("x")).where(F.col("x.standing") == NAMED)
+             .select("host", "x.path").distinct())
+    low = decided.where(F.array_contains("standings", PLAIN)).unionByName(
+        decided.where(F.array_contains("standings", NAMED)).join(named, ["host", "path"], "left_semi"))
+    low = stored(low, "style_decided")
+    placed = (tree.select("host", "page", F.posexplode("blocks").alias("pos", "x"))
+              .select("host", "page", "pos", "x.path", "x.block", F.col("x.standing").cast("int").alias("standing"))
+              .where(F.col("standing") >= NAMED))
+    return (placed.join(low, ["host", "path", "block"]).where(F.array_contains("standings", F.col("standing")))
+            .groupBy("host", "page").agg(F.collect_set("pos").alias("flip")))
+
+
+def kept_text(page: str, flip: set[int]) -> str:
+    """Blocks that markup keeps, but for those at ``flip``, where the tree decides otherwise."""
+    return "\n".join(t for i, (_, s, t) in enumerate(blocks(page)) if (NO_EVIDENCE + SHIFT[s] >= LOW) != (i in flip))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text of every page."""
-    keyed = pages.select("page_id", "url", "html", host(F.col("url")).alias("host"),
-                         F.sha2(F.coalesce("html", F.lit("")), 256).alias("page"))
-    counts = keyed.groupBy("host").agg(F.count_distinct("page").alias("m"))
+    keyed = pages.select("page_id", "url", "html", F.xxhash64(host(F.col("url"))).alias("host"),
+                         F.xxhash64(F.coalesce("html", F.lit(""))).alias("page"))
     tree = stored(style_tree(keyed), "style_tree")
-    # Stored, so that its size is known: pages move only if the drops outgrow a broadcast.
-    drops = stored(low_blocks(tree, counts), "style_drops")
-    joined = keyed.join(drops, ["host", "page"], "left").select("page_id", "url", "html", "drop")
+    # Stored, so that its size is known: pages move only if the flips outgrow a broadcast.
+    flipped = stored(flips(tree), "style_flips")
+    joined = keyed.join(flipped, ["host", "page"], "left").select("page_id", "url", "html", "flip")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -125,6 +125,16 @@ def test_copies_of_a_page_are_no_template(spark):
     assert {r.text for r in got} == {"the same long story"}
 
 
+def test_templates_inside_main_are_dropped(spark):
+    page = "<body><main><div><p>Sign up today</p></div><article><p>{}</p><p>{}</p></article></main>"
+    rows = [(i, f"http://a.example/{i}", page.format(f"story number {i}", f"more of {i}")) for i in range(8)]
+    rows += [(100 + i, f"http://b.example/{i}", page.format("the same story", "in copies") + f"<footer>{i}") for i in range(8)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    texts = {r.page_id: r.text for r in got}
+    assert all(texts[i] == f"story number {i}\nmore of {i}" for i in range(8))
+    assert all(texts[100 + i] == "Sign up today\nthe same story\nin copies" for i in range(8))
+
+
 # ------------------------------------------------------------------ planes
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 @pytest.mark.parametrize("width", [2, 4])
