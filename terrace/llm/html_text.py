@@ -17,7 +17,10 @@ Every block of every page is in the tree; what markup declares only raises or
 lowers a block's importance (``SHIFT``): up inside an article or main element;
 down in containers named as menus, notices, adverts, comments and so on; far
 down in navigation, footers, asides and hidden elements, and outside of the
-article on a page that has one.  Pages of a host with the same blocks that count are one page.
+article on a page that has one.  Names are whole class tokens or ids, never of
+inline elements, html, body, main, article or an element that holds one of
+these two, and are not believed where the named branches hold most of a page.
+Pages of a host with the same blocks that count are one page.
 
 Defined cases: null html is empty (text empty); null url has host ``''``; a
 host with fewer than ``LEAST_PAGES`` distinct pages has no evidence of
@@ -59,7 +62,6 @@ BOILER_WORDS = frozenset(
     "navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe signup login share sharing social related recommended "
     "comment comments disqus replies widget pagination pager toolbar search copyright hidden".split())
-NAME_PART = re.compile(r"[a-z]+")
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW.split()) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))"
@@ -76,7 +78,7 @@ def _names(tag: str, attributes: str) -> tuple[str, set[str], bool]:
         return tag, set(), False
     values = {k.lower(): html.unescape(a or b or c) for k, a, b, c in ATTRIBUTE.findall(attributes)}
     label = " ".join(sorted(values.get("class", "").lower().split()))
-    words = set(NAME_PART.findall(f"{label} {values.get('id', '').lower()}"))
+    words = {*label.split(), *values.get("id", "").lower().split()}
     if values.get("role", "").lower() in BOILER_ROLES:
         words.add("nav")
     hidden = "hidden" in values or values.get("aria-hidden") == "true" \
@@ -89,6 +91,7 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
     out: list[tuple[str, bool, bool, tuple, str]] = []          # path, boiler, in main, names, text
     stack: list[tuple] = []                          # tag, style name, boiler, in main, names (serials)
     parts: list[str] = []
+    cleared: set[int] = set()                        # names of elements that hold an article
     at, serial = 0, 0
 
     def end_block() -> None:
@@ -126,7 +129,7 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
         style, words, hidden = _names(tag, m[4])
         boiler = hidden or tag in BOILER_TAGS or tag in SKIPPED \
             or tag == "header" and not any(s[0] in MAIN_TAGS for s in stack)
-        if tag in INLINE and not boiler and not words & BOILER_WORDS or closed and tag in INLINE:
+        if tag in INLINE and not boiler or closed and tag in INLINE:
             continue
         end_block()
         if tag in SELF_CLOSING:
@@ -145,8 +148,9 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                     break
         _, _, up_boiler, in_main, names = stack[-1] if stack else ("", "", False, False, ())
         if tag in MAIN_TAGS:
+            cleared.update(names)
             in_main = True
-        if tag in NAMED_TAGS or words & BOILER_WORDS:
+        elif tag in NAMED_TAGS or tag not in INLINE and tag not in ("html", "body") and words & BOILER_WORDS:
             serial += 1
             names = (*names, serial)
         stack.append((tag, style, boiler or up_boiler, in_main, names))
@@ -154,13 +158,18 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
         rest = page[at:]
         parts.append(rest[:rest.find("<")] if re.match(r"[^<]*<[a-zA-Z/!][^>]*\Z", rest) else rest)
     end_block()
-    return _standings([(path, boiler, main, bool(names), text)
+    return _standings([(path, boiler, main, any(n not in cleared for n in names), text)
                        for path, boiler, main, names, text in out])
 
 
 def _standings(found: list[tuple[str, bool, bool, bool, str]]) -> list[tuple[str, int, str]]:
     has_main = any(main and not boiler for _, boiler, main, _, _ in found)
-    return [(path, BOILER if boiler else OUTSIDE if main != has_main else NAMED if named
+    size = [0, 0]
+    for _, boiler, main, named, text in found:
+        if not boiler and main == has_main:
+            size[named] += len(text)
+    believed = size[0] >= size[1]
+    return [(path, BOILER if boiler else OUTSIDE if main != has_main else NAMED if named and believed
              else MAIN if main else PLAIN, text) for path, boiler, main, named, text in found]
 
 

@@ -135,6 +135,30 @@ def test_templates_inside_main_are_dropped(spark):
     assert all(texts[100 + i] == "Sign up today\nthe same story\nin copies" for i in range(8))
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><p>The story", "<div class='content no-sidebar'><p>The story</div>",
+    "<article class='post comments-open'><p>The story</article>", "<div id=search><article><p>The story</article></div>",
+    "<main class=comments><p>The story</main>", "<div class=widget><p>The story</div>",
+    "<div class='ad'><article><div class='article-header'>The</div> story</article></div>",
+])
+def test_names_alone_lose_no_article(page):
+    assert html_text.kept_text(page, set()).split() == ["The", "story"]
+
+
+def test_names_lower_importance():
+    assert html_text.kept_text("<article><p>A <span class=social>word</span> more<div class=share>Tweet</div></article>",
+                               set()) == "A word more"
+
+
+def test_tree_decides_named_branches(spark):
+    page = "<body><div class=widget>{}</div><div class=text><p>the long story number {} tells</p></div>"
+    rows = [(i, f"http://{h}.example/{i}", page.format("<p>fact</p>" if h == "a" else f"<p>n{i}</p>" * i, i))
+            for h in "ab" for i in range(1, 9)]
+    got = html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    kept = {r.url: "fact" in r.text or f"n{r.page_id}" in r.text.split() for r in got}
+    assert not any(v for u, v in kept.items() if "//a." in u) and all(v for u, v in kept.items() if "//b." in u)
+
+
 # ------------------------------------------------------------------ planes
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 @pytest.mark.parametrize("width", [2, 4])
