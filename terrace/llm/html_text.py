@@ -22,6 +22,9 @@ inline elements, html, body, main, article or an element that holds one of
 these two, and are not believed where the named branches hold most of a page.
 Pages of a host with the same blocks that count are one page.
 
+Raw elements are dropped, and so are embedded ones (``EMBEDDED``) that their own
+end tag closes; of those left open, nothing is.
+
 Defined cases: null html is empty (text empty); null url has host ``''``; a
 host with fewer than ``LEAST_PAGES`` distinct pages has no evidence of
 templates, so only markup decides; unclosed and stray tags are tolerated;
@@ -48,13 +51,15 @@ LOW = 0.35                  # a block of less importance is removed
 CONTENT_SHARE = 0.8         # of a path's importance; the rest is presentation
 NO_EVIDENCE = 0.8           # importance where the tree says nothing
 
-RAW = "script style noscript template svg iframe object canvas select textarea button title math audio video"
-SKIPPED = frozenset("head select datalist map".split())
+RAW = "script style noscript template iframe textarea title"
+EMBEDDED = frozenset("svg object canvas select datalist button audio video".split())
+SKIPPED = frozenset("head map".split())
 BOILER_TAGS = frozenset("nav footer aside".split())
 NAMED_TAGS = frozenset("form dialog menu fieldset".split())
 MAIN_TAGS = frozenset("article main".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr br img".split())
+                   "small span strike strong sub sup time tt u var wbr br img math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle msub msup "
+                   "msubsup munder mover munderover mtable mtr mtd mpadded mphantom semantics annotation".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SELF_CLOSING = frozenset("p li dt dd tr td th option thead tbody tfoot".split())   # a second one ends the first
 BOILER_WORDS = frozenset(
@@ -89,7 +94,7 @@ def _names(tag: str, attributes: str) -> tuple[str, set[str], bool]:
 def blocks(page: str) -> list[tuple[str, int, str]]:
     """(style path, standing, text) of every non-empty text block, in page order."""
     out: list[tuple[str, bool, bool, tuple, str]] = []          # path, boiler, in main, names, text
-    stack: list[tuple] = []                          # tag, style name, boiler, in main, names (serials)
+    stack: list[tuple] = []                          # tag, style name, boiler, in main, names (serials), opened
     parts: list[str] = []
     cleared: set[int] = set()                        # names of elements that hold an article
     at, serial = 0, 0
@@ -98,8 +103,8 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                state = stack[-1][2:] if stack else (False, False, ())
-                out.append((">".join(s[1] for s in stack), *state, text))
+                state = stack[-1][2:5] if stack else (False, False, ())
+                out.append((">".join(s[1] for s in stack if s[0] not in EMBEDDED), *state, text))
             parts.clear()
 
     for m in TOKEN.finditer(page):
@@ -111,6 +116,14 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
             continue
         tag = tag.lower()
         if m[2]:
+            if tag in EMBEDDED:                      # closed by its own end: as if it were not there
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i][0] == tag:
+                        n_out, before = stack[i][5]
+                        del out[n_out:], stack[i:]
+                        parts[:] = before
+                        break
+                continue
             if tag in INLINE and not any(s[0] == tag for s in stack):
                 continue
             end_block()
@@ -126,6 +139,11 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 end_block()
             continue
         closed = m[4].endswith("/")
+        if tag in EMBEDDED:
+            if not closed:
+                state = stack[-1][2:5] if stack else (False, False, ())
+                stack.append((tag, tag, *state, (len(out), parts.copy())))
+            continue
         style, words, hidden = _names(tag, m[4])
         boiler = hidden or tag in BOILER_TAGS or tag in SKIPPED \
             or tag == "header" and not any(s[0] in MAIN_TAGS for s in stack)
@@ -146,14 +164,14 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 if s[0] in ("head", "nav", "header", "menu"):
                     del stack[i:]
                     break
-        _, _, up_boiler, in_main, names = stack[-1] if stack else ("", "", False, False, ())
+        _, _, up_boiler, in_main, names, _ = stack[-1] if stack else ("", "", False, False, (), None)
         if tag in MAIN_TAGS:
             cleared.update(names)
             in_main = True
         elif tag in NAMED_TAGS or tag not in INLINE and tag not in ("html", "body") and words & BOILER_WORDS:
             serial += 1
             names = (*names, serial)
-        stack.append((tag, style, boiler or up_boiler, in_main, names))
+        stack.append((tag, style, boiler or up_boiler, in_main, names, None))
     if at < len(page):
         rest = page[at:]
         parts.append(rest[:rest.find("<")] if re.match(r"[^<]*<[a-zA-Z/!][^>]*\Z", rest) else rest)

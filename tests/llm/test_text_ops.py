@@ -159,6 +159,14 @@ def test_tree_decides_named_branches(spark):
     assert not any(v for u, v in kept.items() if "//a." in u) and all(v for u, v in kept.items() if "//b." in u)
 
 
+def test_elements_left_open_swallow_nothing():
+    kept = lambda page: html_text.kept_text(page, set())
+    for tag in ("video src=a.mp4", "button", "audio", "object", "canvas", "select", "svg"):
+        assert kept(f"<article><div><{tag}></div><p>one</p><{tag}><p>two</article>").split() == ["one", "two"]
+    assert kept("<article><p>a <button><p>Share</p></button> b<video><p>old</p></video></article>") == "a b"
+    assert kept("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds") == "so x=2 holds"
+
+
 # ------------------------------------------------------------------ planes
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 @pytest.mark.parametrize("width", [2, 4])
