@@ -4,8 +4,8 @@ Regular expressions propose spans, checksums confirm them (Luhn for cards,
 mod-97 for account numbers), and nearby context words adjust a score in
 [0, 1].  The base kinds - email, ip, card, phone - are reported whatever
 their score; the kinds the method adds - iban, ssn - only when confirmed:
-iban by mod-97, ssn by a score of at least ``KEEP``, which its pattern alone
-does not reach without a context word nearby.
+iban by its country's length and mod-97, ssn by a score of at least ``KEEP``, which its pattern alone
+does not reach without a label nearby.  Context words match whole.
 
 Every pattern is scanned once over the whole text in time linear in its
 length: quantifiers are possessive and a number pattern may only start
@@ -38,21 +38,36 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+IBAN_START = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}")
+IBAN_RUN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){0,7}+(?: ?[A-Z0-9]{1,3})?")
+# Characters of an account number by country; of other countries, every group boundary is tried.
+IBAN_LENGTHS = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK,FK,FO,FI,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,XK,LT,LU,MN 21:HR,LV,LI,CH "
+    "22:BH,BG,CR,GE,DE,IE,ME,RS,GB,VA 23:GI,IL,IQ,OM,SO,TL,AE 24:AD,CZ,MD,PK,RO,SA,SK,ES,SE,TN,VG 25:LY,PT,ST "
+    "26:IS,TR 27:BI,DJ,FR,GR,IT,MR,MC,SM 28:AL,AZ,BY,CY,DO,GT,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE "
+    "31:MT,SC 32:LC 33:RU").split()) for c in cs.split(",")}
+IBAN_LEAST = 12
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 DIGIT = re.compile(r"[0-9]")
 DIGITS_ONLY = re.compile(r"[^0-9]")
 
 # Score before context, and the words within REACH characters that change it.
 PRIOR = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.4}
+def whole_words(*words: str, before: str = r"(?<![^\W\d_])") -> re.Pattern:
+    return re.compile(rf"{before}(?:{'|'.join(words)})(?:s|ed|ing)?(?![^\W\d_])")
+
+
 CONTEXT = {
-    "email": ("mail", "contact", "write"), "ip": ("ip", "address", "host", "server"),
-    "card": ("card", "visa", "credit", "payment"), "phone": ("phone", "call", "tel", "mobile"),
-    "iban": ("iban", "account", "bank"), "ssn": ("ssn", "social security"),
+    "email": whole_words("e?mail", "contact", "write"), "ip": whole_words("ip", "address", "addresses", "host", "server"),
+    "card": whole_words("card", "visa", "credit", "payment"),
+    "phone": whole_words("(?:tele|cell)?phone", "call", "tel", "mobile"),
+    "iban": whole_words("iban", "account", "bank"),
+    "ssn": whole_words("ssn", "social security", before=""),       # also the end of a name: userSSN
 }
-AGAINST = ("version", "order", "serial", "isbn", "example")
+AGAINST = whole_words("version", "order", "serial", "isbn", "example")
 REACH = 40
 GAIN, LOSS, KEEP = 0.2, 0.2, 0.5
+LABEL = 0.4                 # gain of an ssn, whose context words name it: outweighs a loss
 
 
 def luhn(digits: str) -> bool:
@@ -84,9 +99,34 @@ def email_spans(text: str) -> Iterator[tuple[int, int]]:
         at = text.find("@", max(at + 1, pos))
 
 
+def iban_spans(text: str) -> Iterator[tuple[int, int]]:
+    """Spans that mod-97 confirms, of their country's length, whatever follows them."""
+    pos = 0
+    while head := IBAN_START.search(text, pos):
+        start, pos = head.start(), head.end()
+        run = IBAN_RUN.match(text, start)[0]
+        length = IBAN_LENGTHS.get(run[:2])
+        for n in range(len(run), IBAN_LEAST - 1, -1):
+            after = text[start + n:start + n + 1]
+            if run[n - 1] == " " or after.isascii() and after.isalnum():
+                continue
+            size = n - run.count(" ", 0, n)
+            if (size == length if length else size >= IBAN_LEAST) and mod97(run[:n]):
+                pos = start + n
+                yield start, pos
+                break
+
+
 def score(text: str, kind: str, start: int, end: int) -> float:
-    around = (text[max(0, start - REACH):start] + " " + text[end:end + REACH]).lower()
-    s = PRIOR[kind] + GAIN * any(w in around for w in CONTEXT[kind]) - LOSS * any(w in around for w in AGAINST)
+    # One character more on either side tells whether a word begins or ends within reach.
+    lo = max(0, start - REACH - 1)
+    before, after = text[lo:start].lower(), text[end:end + REACH + 1].lower()
+    first = 1 if start > REACH else 0
+
+    def near(words: re.Pattern) -> bool:
+        return words.search(before, first) is not None or any(m.end() <= REACH for m in words.finditer(after))
+
+    s = PRIOR[kind] + (LABEL if kind == "ssn" else GAIN) * near(CONTEXT[kind]) - LOSS * near(AGAINST)
     return round(min(1.0, max(0.0, s)), 3)
 
 
@@ -106,7 +146,7 @@ def find_spans(text: str) -> list[tuple[int, int, str, int, float]]:
             for m in PHONE.finditer(text):
                 if 10 <= len(DIGITS_ONLY.sub("", m[0])) <= 15:
                     spans.append((m.start(), 3, m.end()))
-        spans += [(m.start(), 4, m.end()) for m in IBAN.finditer(text) if mod97(m[0])]
+        spans += [(start, 4, end) for start, end in iban_spans(text)]
         spans += [(m.start(), 5, m.end()) for m in SSN.finditer(text)]
     spans.sort()
     scored = [(s, k, KINDS[k], e, score(text, KINDS[k], s, e)) for s, k, e in spans]

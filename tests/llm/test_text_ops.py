@@ -86,6 +86,25 @@ def test_pii_added_kinds_need_their_proof():
     assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
 
 
+@pytest.mark.parametrize("iban, tail", [
+    ("ES91 2100 0418 4502 0005 1332", " BIC CAIXESBB"), ("ES9121000418450200051332", " EUR 500"), ("AT61 1904 3002 3457 3201", " PAID"),
+    ("DE89 3704 0044 0532 0130 00", " BIC"), ("NO93 8601 1117 947", ""), ("ES91 2100 0418 4502 0005 1332", " AT61 1904 3002 3457 3201 X"),
+])
+def test_iban_ends_where_its_country_says(iban, tail):
+    spans = [s for s in pii.find_spans("to " + iban + tail) if s[2] == "iban"]
+    assert (spans[0][0], spans[0][3]) == (3, 3 + len(iban)) and len(spans) == 1 + ("AT61" in tail)
+    assert not [s for s in pii.find_spans(iban + "X9") if s[2] == "iban"]
+
+
+def test_a_label_outweighs_words_against():
+    kinds = lambda t: [s[2] for s in pii.find_spans(t)]
+    for text in ("for example my SSN is 123-45-6789", "in order to pay, ssn 123-45-6789", "userSSN: 123-45-6789"):
+        assert kinds(text) == ["ssn"]
+    assert kinds("lossness 123-45-6789") == kinds("order 123-45-6789") == []
+    score = lambda t: pii.score(t, "ip", t.index("1.2"), len(t))
+    assert score("a disorder at 1.2.3.4") == score("shipping 1.2.3.4") == 0.6 and score("order 1.2.3.4") == 0.4
+
+
 def test_pii_query_over_documents(spark):
     texts = {r.doc_id: r.text for r in documents(spark).collect()}
     got = pii.op7_pii(spark, "/root/testdata/sf0.001").collect()
