@@ -5,7 +5,9 @@ weights), threat, target, negation, reported speech, or other.  Small
 machines - target seen, negation in reach, speech reported - are composed
 into one deterministic machine over those classes; reading a clause, it
 emits each insult's or threat's weight into the channel of the state it is
-in (plain, aimed at a target, negated, reported).  A document's features
+in (plain, aimed at a target, negated, reported).  A threat is scored with a
+target before or after it in its clause: one without a target yet is held, if
+neither negated nor reported, until a target follows.  A document's features
 are its clauses' channel sums, the strongest clause and the density, and a
 logistic model turns them into a score.
 
@@ -57,13 +59,24 @@ CLAUSE_END = re.compile(r"[.!?;\n]")
 OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
 # Word lists of the fixed classes in the four languages.
 WORDS = {
-    THREAT: "kill hurt destroy burn beat stab shoot tuer frapper töten schlagen matar golpear",
-    TARGET: "you your yours he she they them this these that who tu vous toi ton il elle ils ce cette "
-            "du dich ihr euch er sie dieser diese tú usted ustedes él ella ellos este esta",
+    TARGET: "you your yours he him she her they them this these that who tu vous toi ton il elle ils ce cette "
+            "te du dich dir ihr euch er ihn sie ihnen dieser diese tú usted ustedes él ella ellos este esta",
     NEGATION: "not never no without neither nor isn aren wasn don doesn ne pas jamais sans nicht kein keine nie ohne "
               "nunca sin tampoco",
     SPEECH: "said says told wrote quoted called dit disait écrit sagte sagt schrieb dijo dice escribió",
 }
+# Threats: a word start and its inflections, so that no "stable" or "Tuesday" is one.
+THREATS = (
+    r"kill(?:s|ed|ing|ers?)?", r"hurt(?:s|ing)?", r"destroy(?:s|ed|ing)?", r"burn(?:s|t|ed|ing)?", r"beat(?:s|en|ing)?",
+    r"stab(?:s|bed|bing)?", r"shoot(?:s|ing)?", r"shot",
+    r"tu(?:er|es?|ée?s?|ez|ons|ant|ai[st]|aient)", r"tuer(?:ai|as|a|ons|ez|ont|ais|ait|aient|ions|iez)",
+    r"frapp(?:er?|es|ée?s?|ez|ons|ent|ant|ai[st]|aient)", r"frapper(?:ai|as|a|ons|ez|ont|ais|ait|aient|ions|iez)",
+    r"(?:ge)?töte?(?:n|s?t|te[nt]?|test|nd)?", r"(?:er|zer|zu|ge)?schlag(?:en?|t|end)?", r"(?:er|zer)?schläg(?:s?t)", r"(?:er|zer)?schlug(?:en|st|t)?",
+    r"mat(?:ar|o|as?|amos|an|é|aste|ó|aron|ando|ad[oa]s?|aba[ns]?|aré|arás?|aremos|arán|aría[ns]?)",
+    r"golpe(?:ar|o|as?|amos|an|é|aste|ó|aron|ando|ad[oa]s?|aba[ns]?|aré|arás?|aremos|arán|aría[ns]?)",
+)
+THREATENING = re.compile("|".join(THREATS))
+THREAT_WEIGHT = 3.0
 CLASS_OF = {w: c for c, ws in WORDS.items() for w in ws.split()}
 FALLBACK = {"idiot": 5.0, "moron": 5.0, "stupid": 4.0, "scum": 5.0, "pathetic": 4.0, "worthless": 4.0, "loser": 4.0}
 FALLBACK_MODEL = [-5.0, 0.5, 0.5, 0.2, 0.2, 0.5, 1.0, 1.0]
@@ -97,13 +110,18 @@ CHANNEL = [NEGATED if neg else REPORTED if rep else AIMED if aim else PLAIN for
 
 def clause_channels(classes: list[tuple[int, float]]) -> list[float]:
     """Weights that a clause emits into the five channels."""
-    out, state = [0.0] * 5, START
+    out, state, held = [0.0] * 5, START, 0.0
     for c, w in classes:
         state = STEP[state][c]
         if c == INSULT:
             out[CHANNEL[state]] += w
         elif c == THREAT and CHANNEL[state] == AIMED:
             out[THREATENED] += w
+        elif c == THREAT and CHANNEL[state] == PLAIN:
+            held += w
+        elif c == TARGET:
+            out[THREATENED] += held
+            held = 0.0
     return out
 
 
@@ -134,16 +152,16 @@ class Grammar:
 
     def __post_init__(self) -> None:
         starts = trie_pattern(sorted(self.lexicon)) if self.lexicon else r"(?!)"
-        threats = "|".join(map(re.escape, WORDS[THREAT].split()))
-        self.trigger = re.compile(rf"\b(?:{starts}|(?:{threats})\b)")
+        self.trigger = re.compile(rf"\b(?:{starts}|(?:{THREATENING.pattern})\b)")
         self.start = re.compile(starts)
 
     def token(self, word: str) -> tuple[int, float]:
         m = self.start.match(word)
         if m:
             return INSULT, self.lexicon[m[0]]
-        c = CLASS_OF.get(word, OTHER)
-        return c, 3.0 if c == THREAT else 0.0
+        if THREATENING.fullmatch(word):
+            return THREAT, THREAT_WEIGHT
+        return CLASS_OF.get(word, OTHER), 0.0
 
     def features(self, text: str) -> list[float]:
         """Channel sums, the strongest clause, density, number of distinct matches (all log scaled)."""
@@ -156,6 +174,8 @@ class Grammar:
             words = WORD.findall(low, begin, end)
             seen.update(w for w in words if self.start.match(w))
             channels = clause_channels([self.token(w) for w in words])
+            if channels[THREATENED]:
+                seen.update(w for w in words if THREATENING.fullmatch(w))
             sums = [a + b for a, b in zip(sums, channels)]
             strongest = max(strongest, sum(channels))
             m = self.trigger.search(low, end)
@@ -272,7 +292,10 @@ def train(docs: DataFrame, labels: DataFrame) -> Grammar:
 
         fitted = texts.mapInArrow(features, "x array<double>, y int").collect()
         order = sorted((tuple(r["x"]), r["y"]) for r in fitted)             # the same sums on every run
-        grammar.model = logistic(np.array([x for x, _ in order]), np.array([y for _, y in order], float))
+        x, y = np.array([x for x, _ in order]), np.array([y for _, y in order], float)
+        grammar.model = logistic(x, y)
+        if not x[:, THREATENED].any():         # no evidence: a threat to a target weighs like an insult to one
+            grammar.model[1 + THREATENED] = max(grammar.model[1 + AIMED], FALLBACK_MODEL[1 + THREATENED])
         return grammar
     finally:
         texts.unpersist()

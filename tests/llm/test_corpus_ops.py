@@ -214,6 +214,25 @@ def test_grammar_reads_clauses():
     assert g.score("what an idiot") > g.score("what a day") == g.score("")
 
 
+def test_threats_are_scored_before_and_after_their_target():
+    g = toxicity.Grammar({"idiot": 3.0}, toxicity.FALLBACK_MODEL + [0.0, 0.0])
+    threat = lambda t: toxicity.clause_channels([g.token(w) for w in t.split()])[toxicity.THREATENED]
+    for text in ("kill you", "i will kill you", "we will hurt them", "you kill", "killing you", "they shot him", "you get burned",
+                 "je vais te tuer", "je tuerai vous", "ich werde dich töten", "ich schlage dich", "voy a matar ellos"):
+        assert threat(text) == 3.0, text
+    assert threat("kill and burn you") == threat("you kill them and burn") == 6.0
+    for text in ("kill time", "never kill you", "he said kill you", "you stable tuesday", "kill"):
+        assert threat(text) == 0.0, text
+    assert threat("kill time") == 0.0 and g.features("Kill time. You win.")[toxicity.THREATENED] == 0.0
+    assert g.score("I will kill you") > g.score("I will thank you") and g.score("They were killing you") > 0.5
+
+
+def test_threats_weigh_without_labelled_threats(spark):
+    sf = "/root/testdata/sf0.01"
+    g = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    assert g.score("I will kill you") > 0.5 > g.score("I will thank you")
+
+
 def test_toxicity_learns_from_its_rows_only(spark):
     got = toxicity.op4_toxicity(spark, "/root/testdata/sf0.01")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
