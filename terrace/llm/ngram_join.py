@@ -446,8 +446,8 @@ def _links_across(wide: DataFrame, parts: DataFrame, block: int) -> DataFrame:
     return stored(met, "links_across")
 
 
-def near_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id."""
+def near_rows(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row per document: doc_id, key, n_shingles, component_id, root (the component's key; null for an empty set)."""
     rows = stored(described(docs), "described")
     counted = (rows.where("token IS NOT NULL").groupBy("token").agg(F.sum("seen").alias("seen"))
                .orderBy(F.desc("seen"), "token").limit(HEAVY).collect())       # bounded: HEAVY rows
@@ -461,23 +461,56 @@ def near_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     tied = parts.unionByName(parts.select(F.col("v").alias("u"), "v").distinct())
     tied = tied.join(classes.select(F.col("key").alias("u"), "rep"), "u")
     least = tied.groupBy("v").agg(F.min("rep").alias("component_id"))
-    named = stored(classes.join(tied.join(least, "v").select(F.col("u").alias("key"), "component_id"), "key", "left")
-                   .select(F.col("key").alias("k"), F.coalesce("component_id", "rep").alias("component_id")), "named")
-    empty = own.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"),
-                                      F.col("doc_id").alias("component_id"))
+    named = stored(classes.join(tied.join(least, "v").select(F.col("u").alias("key"), "component_id", "v"), "key", "left")
+                   .select(F.col("key").alias("k"), F.coalesce("component_id", "rep").alias("component_id"),
+                           F.coalesce("v", "key").alias("root")), "named")
+    empty = own.where("n = 0").select("doc_id", "key", F.lit(0).cast("long").alias("n_shingles"),
+                                      F.col("doc_id").alias("component_id"), F.lit(None).cast("binary").alias("root"))
     full = own.where("n > 0").join(named, F.col("key") == F.col("k")).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id")
+        "doc_id", "key", F.col("n").alias("n_shingles"), "component_id", "root")
     return full.unionByName(empty)
 
 
+def near_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id."""
+    return near_rows(docs, block).select("doc_id", "n_shingles", "component_id")
+
+
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """row (every input column), key, same (what rows of one key must share to be one)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            s, rows = shingle_sets(b.column(1))
+            at = _bounds(rows, b.num_rows)
+            keys = [_key(s[lo:hi]) for lo, hi in zip(at[:-1], at[1:])]
+            same = [t if n == 0 else None for t, n in zip(b.column(1).to_pylist(), np.diff(at))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(same, pa.string())],
+                                             ["row", "key", "same"])
+
+    packed_ = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").alias("t"))
+    out = StructType([packed_.schema["row"], *StructType.fromDDL("key binary, same string").fields])
+    return packed_.mapInArrow(run, out)
+
+
 def one_of_each(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """The documents that name their component, every input column; of rows repeating one, one."""
-    found = stored(near_components(docs, block), "near_components")
-    kept = repacked(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(),
-                    ["doc_id"])
-    if found.groupBy("doc_id", "component_id").count().where("count > 1").isEmpty():
-        return kept
-    return kept.dropDuplicates(["doc_id", "text"])
+    """One document that names each component, every input column; of equal rows without shingles, one."""
+    found = stored(near_rows(docs, block), "near_rows")
+    repeated = stored(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated_ids")
+    if repeated.isEmpty():
+        return repacked(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))), ["doc_id"])
+    # A repeated id does not tell rows apart: a component is named by its first row by (doc_id, key).
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("x")
+    named = (found.where("root IS NOT NULL").groupBy("root").agg(first).select("x.doc_id", "x.key")
+             .unionByName(found.where("root IS NULL").select("doc_id", "key").distinct()))
+    named = stored(named, "named_rows")
+    ids = repeated.select(F.col("doc_id").alias("again"))
+    at = F.col("doc_id").eqNullSafe(F.col("again"))
+    alone = repacked(docs, named.join(ids, at, "left_anti"), ["doc_id"])
+    names = named.join(ids, at, "left_semi").select(F.col("doc_id").alias("d"), F.col("key").alias("k"))
+    rows = keyed_rows(repacked(docs, repeated, ["doc_id"])).withColumn("id", F.col("row")["doc_id"])
+    kept = (rows.join(names, F.col("id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi")
+            .dropDuplicates(["id", "key", "same"]))
+    return alone.unionByName(kept.select("row.*"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -127,6 +127,18 @@ def test_ngram_components_of_documents_and_odd_rows(spark):
     assert ngram_join.near_components(empty_docs(spark)).count() == 0
 
 
+def test_one_of_each_with_repeated_and_null_ids(spark):
+    prepare(spark)
+    a, b, c, d = ([f"{family(k, 1, change=0.0)[0]} end{i}" for i in range(3)] for k in (11, 12, 13, 14))
+    rows = [(3, a[0]), (5, a[1]), (5, b[0]), (7, c[0]), (7, c[1]), (8, c[2]), (None, d[0]), (None, d[1]), (None, b[1]),
+            (9, ""), (9, ""), (9, " "), (10, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [tuple(r) for r in ngram_join.one_of_each(docs).collect()]
+    assert sorted((r for r in kept if r[0] is not None and r[0] != 7), key=repr) == sorted(
+        [(3, a[0]), (5, b[0]), (9, ""), (9, " "), (10, "x y")], key=repr)
+    assert len([r for r in kept if r[0] == 7]) == 1 and len([r for r in kept if r[0] is None]) == 1
+
+
 def test_packed_tokens_round_trip():
     rng = np.random.default_rng(4)
     for n in (1, 2, 5000):
