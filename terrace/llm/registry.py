@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from terrace.llm.bitplane import op10_bitplanes
 from terrace.llm.exact_dedup import OP5_SQL, op5_exact_dedup
+from terrace.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from terrace.llm.html_text import op8_html_text
 from terrace.llm.mixing import OP3_SQL, op3_mixing
 from terrace.llm.ngram_join import op2_ngram_join
@@ -26,10 +27,12 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_topk": op9_topk,
     "op10_bitplanes": op10_bitplanes,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op9_topk": OP9_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }
