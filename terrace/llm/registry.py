@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import corpus_pipeline
 from terrace.llm.bitplane import op10_bitplanes
+from terrace.llm.collocations import OP12_SQL, op12_collocations
+from terrace.llm.decontaminate import OP11_SQL, op11_decontaminate
 from terrace.llm.exact_dedup import OP5_SQL, op5_exact_dedup
 from terrace.llm.hard_negatives import OP13_SQL, op13_hard_negatives
 from terrace.llm.html_text import op8_html_text
@@ -27,6 +29,8 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_topk": op9_topk,
     "op10_bitplanes": op10_bitplanes,
+    "op11_decontaminate": op11_decontaminate,
+    "op12_collocations": op12_collocations,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -34,5 +38,7 @@ ORACLE_SQL = {
     "op3_mixing": OP3_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op9_topk": OP9_SQL,
+    "op11_decontaminate": OP11_SQL,
+    "op12_collocations": OP12_SQL,
     "op13_hard_negatives": OP13_SQL,
 }

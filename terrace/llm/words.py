@@ -170,6 +170,7 @@ def bit_filter(hashes, column: str) -> BitFilter:
     place = F.shiftrightunsigned(F.col(column), 64 - bits)
     # at most 2 ** (MAX_BITS - 6) rows of two longs come to the driver
     cells = (hashes.select(F.shiftrightunsigned(place, 6).alias("at"),
-                           F.shiftleft(F.lit(1).cast("bigint"), (place.bitwiseAND(63)).cast("int")).alias("bit"))
+                           F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                             place.bitwiseAND(63).cast("int")).alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("cell")).toArrow())
     return BitFilter(bits, cells["cell"].to_numpy().astype(np.int64), cells["at"].to_numpy())
