@@ -27,7 +27,8 @@ from terrace.operators.dedupe import latest_per_key, orderable_columns
 ACTION = "merge_action"
 
 
-def _has_key(keys: Sequence[str]) -> Column:
+def has_key(keys: Sequence[str]) -> Column:
+    """No part of the key is NULL."""
     cond = F.lit(True)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
@@ -35,12 +36,12 @@ def _has_key(keys: Sequence[str]) -> Column:
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.where(_has_key(keys))
+    return df.where(has_key(keys))
 
 
 def unkeyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows that a merge leaves out because part of their key is NULL."""
-    return df.where(~_has_key(keys))
+    return df.where(~has_key(keys))
 
 
 def _reduced(source: DataFrame, cols: Sequence[str], keys: Sequence[str], version: str,

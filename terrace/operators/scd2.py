@@ -25,6 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from terrace.operators.merge import ACTION
 from terrace.operators.neighbors import CHUNK, ROWS_PER_TASK, assign_chunks, neighbors
 
 START = "ts_start_date"
@@ -87,7 +88,8 @@ def with_last_seen(history: DataFrame, observations: DataFrame, keys: Sequence[s
 
 def scd2_apply(history: DataFrame, observations: DataFrame, batch: DataFrame, keys: Sequence[str],
                tracked: Sequence[str], effective: str, carry: Sequence[str] = (),
-               open_start: bool = False, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+               open_start: bool = False, rows_per_task: int = ROWS_PER_TASK,
+               identity: str | None = None) -> DataFrame:
     """Apply a batch to a history that carries ``ts_last_seen``.
 
     Keys whose batch is newer than all that was seen of them, and new keys,
@@ -96,6 +98,12 @@ def scd2_apply(history: DataFrame, observations: DataFrame, batch: DataFrame, ke
     from ``observations`` (which must include the batch).  Untouched keys and
     closed versions of continued keys pass through.  One small eager job asks
     whether any key is late.
+
+    With ``identity`` (the column that with the keys names a version) every row
+    carries ``merge_action``: insert, close, update or noop, and versions that
+    vanish come out as ``delete`` rows, to be counted on the write and left out.
+    A continued key's actions follow from its rows; only the late keys' old and
+    rebuilt versions are compared.
     """
     keys, tracked, carry = list(keys), list(tracked), list(carry)
     tie = [c for c in tracked + carry if c != effective]
@@ -106,28 +114,43 @@ def scd2_apply(history: DataFrame, observations: DataFrame, batch: DataFrame, ke
     on = touched.where(F.col("_last").isNull() | (F.col("_lo") > F.col("_last"))).select(*keys)
 
     cols = list(dict.fromkeys(keys + tracked + carry))
+    # columns of the history that no observation has stay with their version
+    own = [f for f in history.schema.fields if f.name not in {*cols, START, END, ACTIVE, LAST_SEEN}]
     no_time = F.lit(None).cast(dict(history.dtypes)[START])
     resumed = active.join(on, keys, "left_semi").select(
-        *cols, F.col(LAST_SEEN).alias(effective), F.lit(True).alias("_old"), F.col(START).alias("_start"))
+        *cols, *[f.name for f in own], F.col(LAST_SEEN).alias(effective), F.lit(True).alias("_old"),
+        F.col(START).alias("_start"))
     fresh = batch.join(on, keys, "left_semi").select(
-        *cols, F.col(effective), F.lit(False).alias("_old"), no_time.alias("_start"))
-    built = scd2_build(resumed.unionByName(fresh), keys, tracked, effective, [*carry, "_old", "_start"], tie,
+        *cols, *[F.lit(None).cast(f.dataType).alias(f.name) for f in own], F.col(effective),
+        F.lit(False).alias("_old"), no_time.alias("_start"))
+    built = scd2_build(resumed.unionByName(fresh), keys, tracked, effective,
+                       [*carry, *[f.name for f in own], "_old", "_start"], tie,
                        rows_per_task=rows_per_task, with_first=True)
     start = F.when(F.col("_old"), F.col("_start"))
     if open_start:
         start = start.when(F.col(FIRST), no_time)
-    continued = built.withColumn(START, start.otherwise(F.col(START))).drop("_old", "_start", FIRST)
+    kept = F.when(F.col(ACTIVE), F.lit("noop")).otherwise(F.lit("close"))
+    action = F.when(F.col("_old"), kept).otherwise(F.lit("insert")).alias(ACTION)
+    continued = (built.withColumn(START, start.otherwise(F.col(START))).withColumn(ACTION, action)
+                 .drop("_old", "_start", FIRST))
     changed = continued
     if not late.isEmpty():
-        changed = changed.unionByName(scd2_build(
-            observations.join(late.select(*keys), keys, "left_semi"), keys, tracked, effective, carry,
-            tie, open_start, rows_per_task))
+        rebuilt = scd2_build(observations.join(late.select(*keys), keys, "left_semi"), keys, tracked, effective,
+                             carry, tie, open_start, rows_per_task)
+        if identity is None:
+            rebuilt = rebuilt.withColumn(ACTION, F.lit("update"))
+        else:
+            before = history.join(late.select(*keys), keys, "left_semi")
+            rebuilt = scd2_changes(before, rebuilt, keys, identity, tracked, with_noop=True,
+                                   keep=[f.name for f in own]).withColumnRenamed("change_kind", ACTION)
+        changed = changed.unionByName(rebuilt, allowMissingColumns=True)
     last = touched.select(*keys, F.greatest("_last", "_hi").alias("_seen"))
     changed = (changed.join(last, keys)
                .withColumn(LAST_SEEN, F.when(F.col(ACTIVE), F.col("_seen"))).drop("_seen"))
     passed = history.join(touched.select(*keys), keys, "left_anti").unionByName(
-        history.where(~F.col(ACTIVE)).join(on, keys, "left_semi"))
-    return passed.unionByName(changed)
+        history.where(~F.col(ACTIVE)).join(on, keys, "left_semi")).withColumn(ACTION, F.lit("noop"))
+    out = passed.unionByName(changed)
+    return out if identity is not None else out.drop(ACTION)
 
 
 def scd2_rebuild_touched(history: DataFrame, observations: DataFrame, batch: DataFrame,
@@ -166,7 +189,7 @@ def changed_rows(incoming: DataFrame, active: DataFrame, keys: Sequence[str],
 
 
 def scd2_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], identity: str,
-                 tracked: Sequence[str] = ()) -> DataFrame:
+                 tracked: Sequence[str] = (), with_noop: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """What a merge applies to go from history ``old`` to ``new``.
 
     ``insert``: a version absent from ``old``; ``delete``: a version that
@@ -174,16 +197,19 @@ def scd2_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], identity:
     start (a late earlier file) or tracked attributes changed; ``close``: a
     version of which only the end or active flag changed.  Versions are
     identified by ``keys`` + ``identity`` (the first observation's stamp).
-    Applying the rows to ``old`` gives ``new``.
+    Applying the rows to ``old`` gives ``new``.  ``with_noop`` adds the versions
+    that stay as they are; ``keep`` are columns that only ``old`` has.
     """
     ident, state = list(keys) + [identity], [START, *tracked]
-    o = old.select(*ident, *[F.col(c).alias("_old_" + c) for c in [*state, END, ACTIVE]])
+    o = old.select(*ident, *keep, *[F.col(c).alias("_old_" + c) for c in [*state, END, ACTIVE]])
     joined = new.join(o, ident, "full_outer")
     moved = tracked_differs([F.col(c) for c in state], [F.col("_old_" + c) for c in state])
     ended = ~F.col(END).eqNullSafe(F.col("_old_" + END)) | (F.col(ACTIVE) != F.col("_old_" + ACTIVE))
     kind = (F.when(F.col("_old_" + ACTIVE).isNull(), F.lit("insert"))
              .when(F.col(ACTIVE).isNull(), F.lit("delete"))
              .when(moved, F.lit("update")).when(ended, F.lit("close")))
+    if with_noop:
+        kind = kind.otherwise(F.lit("noop"))
     return joined.withColumn("change_kind", kind).where(F.col("change_kind").isNotNull()) \
                  .drop(*["_old_" + c for c in [*state, END, ACTIVE]])
 

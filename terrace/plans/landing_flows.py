@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from terrace.functions.casts import typed_projection
 from terrace.operators.control import control_raw, read_audit, reconcile, write_audit
 from terrace.operators.merge import unkeyed
-from terrace.operators.scd2 import LAST_SEEN
 from terrace.plans import batch
 from terrace.plans.flows import customer_history
 from terrace.schema import CUSTOMERS, ORDER_ITEMS, REF_FILE
@@ -165,7 +164,7 @@ def run_batch_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_batch_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(_two_days(spark, sf_dir).trusted(CUSTOMERS, "b2")).drop(LAST_SEEN)
+    return _two_days(spark, sf_dir).read(spark, CUSTOMERS, "b2")
 
 
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,10 @@ def trusted_columns(entity) -> list[str]:
     return [REF_DAY, REF_FILE] + entity.trusted_columns
 
 
+def _ties(entity) -> list[str]:
+    return [c for c in trusted_columns(entity) if c != REF_FILE and c not in entity.keys]
+
+
 def before(obs: DataFrame, stamp: int) -> DataFrame:
     return obs.where(F.col(REF_FILE) < F.lit(stamp))
 
@@ -31,16 +35,17 @@ def snapshot(obs: DataFrame, entity) -> DataFrame:
     return latest_per_key(obs.select(*trusted_columns(entity)), list(entity.keys), REF_FILE)
 
 
-def upsert(target: DataFrame, batch: DataFrame, entity, with_action: bool = False) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, entity, with_action: bool = False, extra=()) -> DataFrame:
+    """``extra`` columns of both sides follow their row and break no ties."""
     cols = trusted_columns(entity)
-    return merge_upsert(target.select(*cols), batch.select(*cols), list(entity.keys), REF_FILE,
-                        with_action=with_action)
+    return merge_upsert(target.select(*cols, *extra), batch.select(*cols, *extra), list(entity.keys), REF_FILE,
+                        tie_breakers=_ties(entity), with_action=with_action)
 
 
-def insert_only(target: DataFrame, batch: DataFrame, entity, with_action: bool = False) -> DataFrame:
+def insert_only(target: DataFrame, batch: DataFrame, entity, with_action: bool = False, extra=()) -> DataFrame:
     cols = trusted_columns(entity)
-    return merge_insert_only(target.select(*cols), batch.select(*cols), list(entity.keys),
-                             REF_FILE, with_action=with_action)
+    return merge_insert_only(target.select(*cols, *extra), batch.select(*cols, *extra), list(entity.keys),
+                             REF_FILE, tie_breakers=_ties(entity), with_action=with_action)
 
 
 def customer_history(obs: DataFrame, **kw) -> DataFrame:
@@ -59,6 +64,7 @@ def customer_history_seen(obs: DataFrame) -> DataFrame:
     return with_last_seen(customer_history(obs), obs, CUSTOMERS.keys, EFFECTIVE)
 
 
-def customer_history_next(history: DataFrame, all_obs: DataFrame, batch: DataFrame) -> DataFrame:
+def customer_history_next(history: DataFrame, all_obs: DataFrame, batch: DataFrame,
+                          identity: str | None = None) -> DataFrame:
     return scd2_apply(history, all_obs, batch, CUSTOMERS.keys, CUSTOMERS.tracked, EFFECTIVE,
-                      carry=CUSTOMER_CARRY, open_start=True)
+                      carry=CUSTOMER_CARRY, open_start=True, identity=identity)

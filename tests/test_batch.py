@@ -64,9 +64,10 @@ def test_run_batch_two_days(spark):
     assert m2["orders"]["upd"] == closed and m2["orders"]["ins"] == 0
     assert m1["order_items"]["rejects"] == 3 and m1["order_items"]["keyless"] == 3
     assert spark.read.parquet(lake.rejected(ORDER_ITEMS, "b1")).count() == 3
-    assert m2["order_items"] == {"ins": 0, "upd": 0, "rows": m1["order_items"]["rows"], "rejects": 0, "keyless": 0}
+    assert m2["order_items"] == {"ins": 0, "upd": 0, "del": 0, "touched": 0, "rows": m1["order_items"]["rows"],
+                                 "rejects": 0, "keyless": 0}
     # trusted customers after both days == history over all three drops
-    got = spark.read.parquet(lake.trusted(CUSTOMERS, "b2"))
+    got = lake.read(spark, CUSTOMERS, "b2")
     cols = ["customer_id", "customer_city", "ts_start_date", "ts_end_date", "flag_scd_active"]
     assert rows(got, *cols) == rows(flows.customer_history(spark, SF_SMALL), *cols)
     # each landed row is in raw once, on the day it arrived
@@ -81,14 +82,17 @@ def test_run_batch_two_days(spark):
     assert merges.where("str_process = 'trusted_customers' AND num_inserted_rows = 0").count() == 0
     # fact: every item row plus every order without items
     fact = spark.read.parquet(lake.refined("dw_fact_orders", "b2"))
-    n_items = spark.read.parquet(lake.trusted(ORDER_ITEMS, "b2")).count()
+    n_items = lake.read(spark, ORDER_ITEMS, "b2").count()
     no_items = fact.where(F.col("order_item_id").isNull()).count()
     assert fact.count() == n_items + no_items
     assert spark.read.parquet(lake.refined("aggregate_sales_performance_by_city", "b2")).count() > 0
+    refined = read_audit(spark, lake.control("refined"))
+    assert refined.count() == 12                             # 6 tables x 2 days
+    assert refined.where("str_process = 'refined_dw_fact_orders'").orderBy("nu_qtd_rows").collect()[-1].nu_qtd_rows == fact.count()
     audit, merges = rows(audit), rows(merges)
     # a batch that died half-way reruns under the same id: nothing is ingested or audited twice
     run_trusted(spark, land, lake_root, DAY2, "b2", ts, previous_batch_id="b1")
-    assert rows(spark.read.parquet(lake.trusted(CUSTOMERS, "b2")), *cols) == \
+    assert rows(lake.read(spark, CUSTOMERS, "b2"), *cols) == \
         rows(flows.customer_history(spark, SF_SMALL), *cols)
     assert landing.read_raw(spark, lake.raw(CUSTOMERS)).count() == 3 * n
     assert rows(read_audit(spark, lake.control("raw"))) == audit
@@ -96,4 +100,4 @@ def test_run_batch_two_days(spark):
     # replaying day 2 into a new version changes nothing
     run_trusted(spark, land, lake_root, DAY2, "b3", ts, previous_batch_id="b2")
     for e in (CUSTOMERS, ORDERS, ORDER_ITEMS):
-        assert rows(spark.read.parquet(lake.trusted(e, "b2"))) == rows(spark.read.parquet(lake.trusted(e, "b3")))
+        assert rows(lake.read(spark, e, "b2")) == rows(lake.read(spark, e, "b3"))
