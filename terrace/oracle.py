@@ -469,6 +469,27 @@ FROM t_orders"""
         f"SELECT {PROD_COLS}, TIMESTAMP '2024-01-11 00:00:00' AS ref_dw_process FROM t_prod"
     q["q_scd2_history"] = _with(CUST_DROPS, cust_history("h", (1, 2, 3))) + f"SELECT {HIST_COLS} FROM h"
     q["q_run_batch_customers"] = q["q_scd2_history"]
+    q["q_stream_merge_customers"] = q["q_catch_up_customers"] = q["q_scd2_history"]
+    # the batch that died had its day stored with its rows
+    q["q_version_ledger"] = _with(CUST_DROPS, cust_history("h1", (1,)), cust_history("h", (1, 2, 3))) + """
+SELECT 'b1' AS version, CAST(NULL AS VARCHAR) AS parent, COUNT(*) AS nu_ins, CAST(0 AS BIGINT) AS nu_upd,
+       CAST(0 AS BIGINT) AS nu_del, COUNT(*) AS nu_rows, CAST(0 AS BIGINT) AS nu_keyless FROM h1
+UNION ALL
+SELECT 'b2', 'b1', COUNT(*) FILTER (WHERE NOT kept), COUNT(*) FILTER (WHERE kept AND ts_end_date IS NOT NULL), 0,
+       COUNT(*), 0
+FROM (SELECT h.*, EXISTS (SELECT 1 FROM h1 WHERE h1.customer_id = h.customer_id
+                          AND h1.ref_file_extraction = h.ref_file_extraction) AS kept FROM h)"""
+    q["q_stream_merge"] = _with(ORDER_FEEDS) + f"""SELECT
+       CASE WHEN order_status = 'O' THEN {S.REF_DAY_1} ELSE {S.REF_DAY_2} END AS ref_day,
+       CAST(CASE WHEN order_status = 'O' THEN {S.PLACED_DROP} ELSE {S.CLOSED_DROP} END AS BIGINT) AS ref_file_extraction,
+       order_id, customer_id, order_status, ts_order_purchase, ts_order_approved_at, ts_order_delivered_carrier,
+       ts_order_delivered_customer, dt_order_estimated_delivery
+FROM (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_status = 'O') AS rn FROM ord_hist) WHERE rn = 1"""
+    q["q_stream_merge_payments"] = _with(PAY_FEED) + f"""SELECT
+       CASE WHEN nu_payment_sequential = 1 THEN {S.REF_DAY_1} ELSE {S.REF_DAY_2} END AS ref_day,
+       CAST(CASE WHEN nu_payment_sequential = 1 THEN {S.PAYMENT_DROPS[0]} ELSE {S.PAYMENT_DROPS[1]} END AS BIGINT)
+         AS ref_file_extraction, order_id, nu_payment_sequential, payment_type, nu_payment_installments,
+       CAST(nu_payment_value AS DOUBLE) AS nu_payment_value FROM pay_obs"""
     q["q_scd2_late"] = _with(CUST_DROPS, cust_history(
         "h", (1, 2, 3), f"AND (drop_no <> 2 OR CAST(customer_id AS BIGINT) % {S.MOVE_EVERY} = 0)")) + \
         f"SELECT {HIST_COLS} FROM h"

@@ -32,6 +32,12 @@ CUTOFF_STAMP = 19990101000000   # trusted snapshot holds files before it; later
 CLOSE_AFTER_DAYS = 45
 SECOND_PAYMENT_EVERY = 3
 SECOND_PAYMENT_AFTER_DAYS = 30
+# Stamps of landed order drops: placed and closed orders, and stale re-sends stamped before both.
+PLACED_DROP = 20240110000000
+CLOSED_DROP = 20240111000000
+STALE_DROP = 20240109000000
+# Stamps of landed payment drops: first payments, all payments again, the rest.
+PAYMENT_DROPS = (20240110000000, 20240111000000)
 PRODUCT_LAUNCH_STAMP = 20180101000000
 PRODUCT_RECATEGORISED_STAMP = 20190101000000
 PRODUCT_CUTOFF_STAMP = 20180126000000
@@ -224,6 +230,18 @@ def product_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return launched.unionByName(recat)
 
 
+# ---------------------------------------------------------------- landing drops
+def as_landing(df: DataFrame, entity) -> DataFrame:
+    """Typed rows of ``entity`` rendered as its all-string landing contract."""
+    out = []
+    for src, dst, t in entity.typed:
+        c = F.date_format(F.col(dst), "yyyy-MM-dd HH:mm:ss") if t == "timestamp" else F.col(dst)
+        out.append(c.cast("string").alias(src))
+    typed = {src for src, _, _ in entity.typed}
+    out += [F.lit("s1").alias(c) for c in entity.landing if c not in typed]    # landed, dropped in trusted
+    return df.select(*out)
+
+
 # ---------------------------------------------------------------- events
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
