@@ -145,7 +145,7 @@ MAX_BITS = 26
 
 
 class BitFilter:
-    """Which 64-bit hashes may be in a set, by one bit each: no member is refused.
+    """Which 64-bit hashes may be in a set, by two bits each: no member is refused.
 
     The size is fixed by ``MAX_BITS`` (8 MB), not by the set; a set that fills
     it lets more strangers through, which its user has to drop.
@@ -153,24 +153,31 @@ class BitFilter:
 
     def __init__(self, bits: int, cells: np.ndarray, at: np.ndarray):
         self.bits = bits
-        self.table = np.zeros(1 << max(0, bits - 6), np.uint64)
+        self.table = np.zeros(1 << (bits - 6), np.uint64)
         self.table[at] = cells.view(np.uint64)
 
-    def __call__(self, h: np.ndarray) -> np.ndarray:
-        place = h >> np.uint64(64 - self.bits)
+    def _bit(self, place: np.ndarray) -> np.ndarray:
         return (self.table[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) != 0
 
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        fit = self._bit(h >> np.uint64(64 - self.bits))
+        at = np.flatnonzero(fit)
+        fit[at] = self._bit(h[at] & np.uint64((1 << self.bits) - 1))
+        return fit
+
 
 def bit_filter(hashes, column: str) -> BitFilter:
-    """The filter of a column of 64-bit hashes, built in the cluster as words of 64 bits."""
+    """The filter of a column of well-mixed 64-bit hashes, built in the cluster as cells of 64 bits."""
     from pyspark.sql import functions as F
 
     n = hashes.count()
-    bits = min(MAX_BITS, max(12, int(n * 32).bit_length()))
-    place = F.shiftrightunsigned(F.col(column), 64 - bits)
+    bits = min(MAX_BITS, max(12, int(n * 256).bit_length()))
+    places = F.array(F.shiftrightunsigned(F.col(column), 64 - bits),           # the first bits and the last
+                     F.col(column).bitwiseAND((1 << bits) - 1))
     # at most 2 ** (MAX_BITS - 6) rows of two longs come to the driver
-    cells = (hashes.select(F.shiftrightunsigned(place, 6).alias("at"),
-                           F.call_function("shiftleft", F.lit(1).cast("bigint"),
-                                             place.bitwiseAND(63).cast("int")).alias("bit"))
+    cells = (hashes.select(F.explode(places).alias("place"))
+             .select(F.shiftrightunsigned("place", 6).alias("at"),
+                     F.call_function("shiftleft", F.lit(1).cast("bigint"),
+                                     F.col("place").bitwiseAND(63).cast("int")).alias("bit"))
              .groupBy("at").agg(F.bit_or("bit").alias("cell")).toArrow())
     return BitFilter(bits, cells["cell"].to_numpy().astype(np.int64), cells["at"].to_numpy())
