@@ -231,8 +231,9 @@ def summed(columns: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return columns[:, order[first]], np.add.reduceat(n[order], first)
 
 
-def merged(runs: DataFrame, min_count: int) -> DataFrame:
-    """key, words, a, mark of the phrases that occur ``min_count`` times or more over all runs."""
+def merged(runs: DataFrame, parts: int, min_count: int) -> DataFrame:
+    """key, words, a, mark of the phrases that occur ``min_count`` times or more over all runs; a task
+    for each of the ``parts`` prefix partitions, so a task reads as much at any size of the corpus."""
     def merge(part: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
         keys, length, a, marks = [], [], [], []
@@ -252,7 +253,7 @@ def merged(runs: DataFrame, min_count: int) -> DataFrame:
         return pa.table([pa.array(keys, pa.binary()), pa.array(length, pa.int32()), pa.array(a, pa.int64()),
                          pa.array(marks, pa.int64())], names=["key", "words", "a", "mark"])
 
-    return runs.groupBy("part").applyInArrow(merge, PHRASE_SCHEMA)
+    return runs.repartition(parts, "part").groupBy("part").applyInArrow(merge, PHRASE_SCHEMA)
 
 
 def pair_mark(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -399,14 +400,14 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, top: int = TOP, la
         seed += 1
     totals = stored(vocabulary.groupBy("lang").agg(F.sum("n").alias("n")), "collocations_totals")
     n = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n * (MAX_WORDS - 2) // MERGE_KEYS))
+    parts = max(spark.sparkContext.defaultParallelism, -(-n * (MAX_WORDS - 2) // MERGE_KEYS))
     words = vocabulary.where(F.col("n") >= min_count)
     frequent = bit_filter(words, "id")
-    pairs = stored(merged(phrase_runs(texts, seed, [2], frequent, None, parts, entries, burst), min_count),
+    pairs = stored(merged(phrase_runs(texts, seed, [2], frequent, None, parts, entries, burst), parts, min_count),
                    "collocations_pairs")
     longer = list(range(3, MAX_WORDS + 1))
     runs = phrase_runs(texts, seed, longer, frequent, bit_filter(pairs, "mark"), parts, entries, burst)
-    more = stored(merged(runs, min_count), "collocations_phrases")
+    more = stored(merged(runs, parts, min_count), "collocations_phrases")
     return scored(pairs.unionByName(more), words, totals, top)
 
 
