@@ -423,7 +423,16 @@ FROM (SELECT ref_file_extraction, COUNT(*) AS nu_landing_rows,
 UNION ALL
 SELECT 'item_values', COUNT(*) FILTER (WHERE l_orderkey % 97 = 0) + COUNT(*) FILTER (WHERE l_orderkey % 89 = 0)
 FROM lineitem
-UNION ALL SELECT 'file_without_stamp', COUNT(*) FROM customer"""
+UNION ALL SELECT 'file_without_stamp', COUNT(*) FROM customer
+UNION ALL SELECT 'header_drift', COUNT(*) FROM customer
+UNION ALL SELECT 'malformed_line', COUNT(*) FROM customer
+WHERE c_custkey % 97 = 0 OR c_custkey % 89 = 0 OR c_custkey % 83 = 0"""
+    line = "concat_ws(',', customer_id, customer_unique_id, customer_zip_code_prefix, customer_city, customer_state)"
+    q["q_rejected_lines"] = _with(CUST_DROPS) + f"""SELECT 'malformed_line' AS reason,
+       CASE WHEN k % 97 = 0 THEN concat_ws(',', customer_id, customer_unique_id)
+            WHEN k % 89 = 0 THEN {line} || ',surplus' ELSE '"' || {line} END AS landing_line
+FROM (SELECT *, CAST(customer_id AS BIGINT) AS k FROM cust_land WHERE drop_no = 1)
+WHERE k % 97 = 0 OR k % 89 = 0 OR k % 83 = 0"""
     q["q_typed_items"] = _with(ITEM_FEED) + """SELECT ref_file_extraction, order_id, order_item_id, product_id,
        ts_shipping_limit, CAST(nu_price AS DOUBLE) AS nu_price,
        CAST(nu_freight_value AS DOUBLE) AS nu_freight_value, 0 AS nu_rejects

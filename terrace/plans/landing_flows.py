@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.casts import typed_projection
 from terrace.operators.control import control_raw, read_audit, reconcile, write_audit
-from terrace.operators.merge import unkeyed
+from terrace.operators.merge import has_key
 from terrace.plans import batch
 from terrace.plans.flows import customer_history
 from terrace.schema import CUSTOMERS, ORDER_ITEMS, REF_FILE
@@ -27,6 +28,9 @@ from terrace.streaming.ingest import ingest_available
 # Zone and path names written into the audit rows (relative, portable).
 LANDING_ZONE = "landzone"
 RAW_ZONE = "raw"
+# Stamps of the drops that a stream has to reject in part or as a whole.
+SPOILT_DROP = 19950201000000
+DRIFTED_DROP = 19950301000000
 
 
 @dataclass
@@ -58,7 +62,7 @@ def land_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing rows of the stamped drops (S1 + P2); the unstamped drop is rejected."""
     lake = write_customer_drops(spark, sf_dir)
     scanned = landing.read_landing(spark, lake.folder, CUSTOMERS.landing)
-    return scanned.where(F.col(REF_FILE).isNotNull()).drop(landing.LANDING_FILE)
+    return landing.accepted(scanned, CUSTOMERS.landing)
 
 
 def raw_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,18 +171,60 @@ def run_batch_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_days(spark, sf_dir).read(spark, CUSTOMERS, "b2")
 
 
+def spoilt_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop 1 as text lines: some end early, some have a field too many, some leave a quote open."""
+    k = F.col("customer_id").cast("bigint")
+    line = F.concat_ws(",", *CUSTOMERS.landing)
+    spoilt = (F.when(k % 97 == 0, F.concat_ws(",", "customer_id", "customer_unique_id"))
+              .when(k % 89 == 0, F.concat(line, F.lit(",surplus")))
+              .when(k % 83 == 0, F.concat(F.lit('"'), line)).otherwise(line))
+    return feeds.customer_drops(spark, sf_dir).where(F.col("drop_no") == 1).select(spoilt.alias("line"))
+
+
+def write_lines(lines: DataFrame, path: str, header: str) -> None:
+    """Text lines as files that each begin with ``header``."""
+    def with_header(batches):
+        first = True
+        for b in batches:
+            values = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(([header] if first else []) + values, pa.string())], ["value"])
+            first = False
+    lines.mapInArrow(with_header, "value string").write.mode("overwrite").text(path)
+
+
+def landing_rejects(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """(raw, rejected) paths after a stream met a drop with spoilt lines, a drop whose header
+    names two columns in the other order, a drop without a stamp, and good drops."""
+    lake = write_customer_drops(spark, sf_dir)
+    cols = list(CUSTOMERS.landing)
+    write_lines(spoilt_lines(spark, sf_dir), landing.drop_path(lake.landing_root, CUSTOMERS.folder, SPOILT_DROP),
+                ",".join(cols))
+    swapped = [cols[1], cols[0], *cols[2:]]
+    (feeds.customer_drops(spark, sf_dir).where(F.col("drop_no") == 2).select(*swapped)
+     .write.option("header", True).csv(landing.drop_path(lake.landing_root, CUSTOMERS.folder, DRIFTED_DROP)))
+    ingest_available(spark, lake.folder, CUSTOMERS.landing, lake.raw_path, f"{lake.raw_path}_checkpoint", REF_DAY_1)
+    return lake.raw_path, f"{lake.raw_path}_rejected"
+
+
 def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rejected rows by reason: item landings with spoilt keys and values, a drop without a stamp."""
+    """Rejected rows by reason: item landings with spoilt keys and values; drops with spoilt
+    lines, another header, or no stamp."""
     items = feeds.item_landing(spark, sf_dir)
     order = F.col("order_id").cast("bigint")
     spoilt = items.withColumns({
         "order_item_id": F.when(order % 97 == 0, F.lit("x")).otherwise(F.col("order_item_id")),
         "price": F.when(order % 89 == 0, F.lit("n/a")).otherwise(F.col("price"))})
     typed = typed_projection(spoilt, ORDER_ITEMS, reject_col="n")
-    lake = write_customer_drops(spark, sf_dir)
-    files = landing.rejected(landing.read_landing(spark, lake.folder, CUSTOMERS.landing), CUSTOMERS.landing)
-    reason = lambda df, name, n: df.agg(F.lit(name).alias("reason"), n.cast("bigint").alias("nu_rows"))
-    one = F.count(F.lit(1))
-    return (reason(unkeyed(typed, ORDER_ITEMS.keys), "item_without_key", one)
-            .unionByName(reason(typed, "item_values", F.coalesce(F.sum("n"), F.lit(0))))
-            .unionByName(reason(files, "file_without_stamp", one)))
+    by_kind = typed.agg(F.count_if(~has_key(ORDER_ITEMS.keys)).alias("item_without_key"),
+                        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("item_values"))
+    of_items = by_kind.unpivot([], ["item_without_key", "item_values"], "reason", "nu_rows")
+    _, rejected = landing_rejects(spark, sf_dir)
+    return of_items.unionByName(spark.read.parquet(rejected).groupBy("reason").agg(
+        F.count(F.lit(1)).alias("nu_rows")))
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text of every line that did not fit, as it landed."""
+    _, rejected = landing_rejects(spark, sf_dir)
+    return (spark.read.parquet(rejected).where(F.col("reason") == "malformed_line")
+            .select("reason", landing.LANDING_LINE))

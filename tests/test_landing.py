@@ -132,3 +132,68 @@ def test_unstamped_files_are_stored_and_a_missing_folder_is_no_drop(spark):
     ingest_available(spark, folder, CUSTOMERS.landing, raw_path, ckpt, 20240111)
     assert landing.read_raw(spark, raw_path, CUSTOMERS.landing).count() == 0
     assert spark.read.parquet(f"{raw_path}_rejected").select("customer_id").collect()[0][0] == "1"
+
+
+def _lines(spark, path, lines):
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+
+
+def test_malformed_lines_are_kept_as_text_and_rejected(spark):
+    root = scratch_path(spark, "lines")
+    folder, cols = f"{root}/{CUSTOMERS.folder}", list(CUSTOMERS.landing)
+    lines = ["u1,a,z,c,s", "u2,10", "u3,a,z,c,s,more", '"u4,a,z,c,s', '"u5, x",a,"z ""q""",c,', "u6,,,,", "u7"]
+    _lines(spark, landing.drop_path(root, CUSTOMERS.folder, 20240101000000), [",".join(cols), *lines])
+    scanned = landing.read_landing(spark, folder, cols)
+    assert rows(landing.accepted(scanned, cols), "customer_id", "customer_zip_code_prefix") == [
+        ("u1", "z"), ("u5, x", 'z "q"'), ("u6", None)]
+    bad = landing.rejected(scanned, cols)
+    assert rows(bad, "reason", landing.LANDING_LINE) == sorted(
+        ("malformed_line", x) for x in ("u2,10", "u3,a,z,c,s,more", '"u4,a,z,c,s', "u7"))
+    raw_path = f"{root}/raw"
+    ingest_available(spark, folder, cols, raw_path, f"{root}/_ckpt", 20240111)
+    assert landing.read_raw(spark, raw_path).count() == 3
+    assert spark.read.parquet(f"{raw_path}_rejected").count() == 4
+
+
+def test_a_drop_with_another_header_is_set_aside_and_the_stream_goes_on(spark):
+    root = scratch_path(spark, "drift")
+    folder, raw_path, ckpt, cols = f"{root}/{CUSTOMERS.folder}", f"{root}/raw", f"{root}/_ckpt", list(CUSTOMERS.landing)
+    good = [("1", "u", "z", "c", "s")]
+    _drop(spark, root, 20240101000000, good, cols)
+    _drop(spark, root, 20240102000000, [("u", "2", "z", "c", "s")], [cols[1], cols[0], *cols[2:]])
+    _drop(spark, root, 20240103000000, [("3", "u", "z", "c", "s", "x")], [*cols, "extra"])
+    _lines(spark, landing.drop_path(root, CUSTOMERS.folder, 20240104000000),
+           ["\ufeff" + ",".join(f'"{c}"' for c in cols), "4,u,z,c,s"])
+    _lines(spark, landing.drop_path(root, CUSTOMERS.folder, 20240105000000), ["5,u,z,c,s", "6,u,z,c,s"])   # no header
+    ingest_available(spark, folder, cols, raw_path, ckpt, 20240111)
+    assert rows(landing.read_raw(spark, raw_path), "customer_id") == [("1",), ("4",)]
+    bad = spark.read.parquet(f"{raw_path}_rejected")
+    assert {r[0] for r in bad.select("reason").distinct().collect()} == {"header_drift"} and bad.count() == 3
+    _drop(spark, root, 20240106000000, [("7", "u", "z", "c", "s")], cols)
+    ingest_available(spark, folder, cols, raw_path, ckpt, 20240112)
+    assert rows(landing.read_raw(spark, raw_path), "customer_id") == [("1",), ("4",), ("7",)]
+
+
+def _part_files(path):
+    import os
+    top = path.removeprefix("file:")
+    return [f"{d}/{f}" for d, _, fs in os.walk(top) for f in fs if f.startswith("part-")]
+
+
+def test_raw_files_are_sized_and_small_epochs_compact_under_their_identity(spark):
+    root = scratch_path(spark, "sized")
+    folder, raw_path, ckpt = f"{root}/{CUSTOMERS.folder}", f"{root}/raw", f"{root}/_ckpt"
+    _parts(spark, root, 20240101000000, range(30))
+    _parts(spark, root, 20240102000000, range(30, 60))
+    scanned = landing.read_landing(spark, folder, CUSTOMERS.landing)
+    landing.write_raw(landing.to_raw(scanned.repartition(12), CUSTOMERS.landing, 20240111), raw_path)
+    assert len(_part_files(raw_path)) == 2                 # 12 tasks x 2 stamps, one file a partition
+    streamed = f"{root}/streamed"
+    ingest_available(spark, folder, CUSTOMERS.landing, streamed, ckpt, 20240111, max_files=6)
+    before = rows(landing.read_raw(spark, streamed, CUSTOMERS.landing, with_ingest=True))
+    units = sorted({r[-1] for r in before})
+    landing.compact_raw(spark, streamed, units[:3], CUSTOMERS.landing, scratch_path(spark, "compact"))
+    assert rows(landing.read_raw(spark, streamed, CUSTOMERS.landing, with_ingest=True)) == before
+    of = [f for f in _part_files(streamed) if any(f"={u}/" in f for u in units[:3])]
+    dirs = {f.rsplit("/", 1)[0] for f in of}
+    assert len(of) == len(dirs)
