@@ -392,6 +392,16 @@ WHERE o.customer_id IS NULL OR n.customer_id IS NULL OR {tracked}
    OR n.ts_end_date IS DISTINCT FROM o.ts_end_date OR n.flag_scd_active <> o.flag_scd_active"""
 
 
+# the trusted tables after three landed batches: an item line's rows all come in one drop
+LANDED_CTES = ",".join([CUST_DROPS, cust_history("hist123", (1, 2, 3)), ORDER_FEEDS, ITEM_FEED, PAY_FEED, f"""
+dimc AS (SELECT 0 AS sk_customers, * FROM hist123),
+t_orders AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY order_status = 'O') AS rn FROM ord_hist) WHERE rn = 1),
+t_items AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY {ITEM_TIE}) AS rn FROM item_obs) WHERE rn = 1),
+t_pay AS (SELECT * FROM pay_obs)""", FACT])
+
+
 def queries() -> dict[str, str]:
     q: dict[str, str] = {}
     q["q_land_scan"] = _with(CUST_DROPS) + f"SELECT {LAND_COLS}, ref_file_extraction FROM cust_land"
@@ -561,5 +571,8 @@ FROM t_orders"""
         "SELECT *, TIMESTAMP '2024-01-11 00:00:00' AS ref_dw_process FROM dimc"
     q["q_fact_orders"] = "WITH " + FACT_CTES + "\n" + FACT_SELECT
     q["q_agg_city"] = "WITH " + FACT_CTES + "," + DIM_LOCATION + "\n" + AGG_CITY
+    q["q_incremental_fact"] = "WITH " + LANDED_CTES + "\n" + FACT_SELECT.replace("customer_id, sk_customers,", "customer_id,")
+    q["q_incremental_marts"] = "WITH " + LANDED_CTES + "," + DIM_LOCATION + f"""
+SELECT 'city' AS mart, * FROM ({AGG_CITY}) UNION ALL BY NAME SELECT 'day' AS mart, * FROM ({AGG_DAY})"""
     q["q_agg_day_payment"] = "WITH " + FACT_CTES + "\n" + AGG_DAY
     return q

@@ -15,20 +15,6 @@ from tests.conftest import SF_SMALL, rows
 DAY1, DAY2 = 20240111, 20240112
 
 
-def _as_landing(df, entity):
-    """Typed rows rendered back to the all-string landing contract."""
-    out = []
-    for src, dst, t in entity.typed:
-        c = F.col(dst)
-        if t == "timestamp":
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        out.append(c.cast("string").alias(src))
-    for src in entity.landing:
-        if src not in {s for s, _, _ in entity.typed}:
-            out.append(F.lit("s1").alias(src))       # e.g. seller_id: landed, dropped in trusted
-    return df.select(*out)
-
-
 def _drop(df, root, entity, stamp):
     landing.write_drop(df, root, entity.folder, stamp, entity.landing)
 
@@ -40,22 +26,22 @@ def test_run_batch_two_days(spark):
     for i, stamp in enumerate(feeds.CUSTOMER_DROP_STAMPS[:2], start=1):
         _drop(drops.where(F.col("drop_no") == i), land, CUSTOMERS, stamp)
     hist = feeds.order_history(spark, SF_SMALL)
-    _drop(_as_landing(hist.where(F.col("order_status") == "O"), ORDERS), land, ORDERS, 20240110000000)
+    _drop(feeds.as_landing(hist.where(F.col("order_status") == "O"), ORDERS), land, ORDERS, 20240110000000)
     items = feeds.item_observations(spark, SF_SMALL)
-    _drop(_as_landing(items, ORDER_ITEMS), land, ORDER_ITEMS, 20240110000000)
+    _drop(feeds.as_landing(items, ORDER_ITEMS), land, ORDER_ITEMS, 20240110000000)
     bad = spark.createDataFrame([("o", "x", "p", "s", None, "1", "1")] * 3, ",".join(f"{c} string" for c in ORDER_ITEMS.landing))
     _drop(bad, land, ORDER_ITEMS, 20240110000001)            # three rows without a usable key
-    _drop(_as_landing(feeds.payment_observations(spark, SF_SMALL), ORDER_PAYMENTS), land, ORDER_PAYMENTS,
+    _drop(feeds.as_landing(feeds.payment_observations(spark, SF_SMALL), ORDER_PAYMENTS), land, ORDER_PAYMENTS,
           20240110000000)
     prods = feeds.product_observations(spark, SF_SMALL)
-    _drop(_as_landing(prods.where(F.col("ref_file_extraction") < 20190101000000), PRODUCTS), land,
+    _drop(feeds.as_landing(prods.where(F.col("ref_file_extraction") < 20190101000000), PRODUCTS), land,
           PRODUCTS, 20240110000000)
 
     ts = dt.datetime(2024, 1, 11)
     m1 = run_batch(spark, land, lake_root, DAY1, "b1", ts)
     # day 2: customers and orders only
     _drop(drops.where(F.col("drop_no") == 3), land, CUSTOMERS, feeds.CUSTOMER_DROP_STAMPS[2])
-    _drop(_as_landing(hist.where(F.col("order_status") != "O"), ORDERS), land, ORDERS, 20240111000000)
+    _drop(feeds.as_landing(hist.where(F.col("order_status") != "O"), ORDERS), land, ORDERS, 20240111000000)
     m2 = run_batch(spark, land, lake_root, DAY2, "b2", ts, previous_batch_id="b1")
     lake = Lake(lake_root)
     n_orders = feeds.table(spark, SF_SMALL, "orders").count()
@@ -81,7 +67,7 @@ def test_run_batch_two_days(spark):
     assert merges.count() == 10                              # 5 merges x 2 days
     assert merges.where("str_process = 'trusted_customers' AND num_inserted_rows = 0").count() == 0
     # fact: every item row plus every order without items
-    fact = spark.read.parquet(lake.refined("dw_fact_orders", "b2"))
+    fact = lake.read_fact(spark, "b2")
     n_items = lake.read(spark, ORDER_ITEMS, "b2").count()
     no_items = fact.where(F.col("order_item_id").isNull()).count()
     assert fact.count() == n_items + no_items
