@@ -429,6 +429,14 @@ FROM (SELECT ref_file_extraction, COUNT(*) AS nu_landing_rows,
              COUNT(*) FILTER (WHERE (drop_no < 3 OR CAST(customer_id AS BIGINT) % 2 = 0)
                               AND CAST(customer_id AS BIGINT) % 10 <> 0) AS nu_trusted_keys
       FROM cust_land GROUP BY ref_file_extraction)"""
+    changed, third = S.CUSTOMER_DROP_STAMPS[1], S.CUSTOMER_DROP_STAMPS[2]
+    q["q_reconcile_content"] = _with(CUST_DROPS) + f"""SELECT ref_file_extraction, customer_id, CAST(1 AS BIGINT) AS nu_left,
+       CAST(CASE WHEN ref_file_extraction = {changed} THEN 1 WHEN k % 103 = 0 THEN 0 ELSE 2 END AS BIGINT) AS nu_right,
+       CASE WHEN ref_file_extraction = {changed} THEN 'changed' WHEN k % 103 = 0 THEN 'missing_right'
+            ELSE 'repeated' END AS difference,
+       CASE WHEN ref_file_extraction = {changed} THEN 'customer_city' ELSE '' END AS columns
+FROM (SELECT *, CAST(customer_id AS BIGINT) AS k FROM cust_land)
+WHERE (ref_file_extraction = {changed} AND k % 101 = 0) OR (ref_file_extraction = {third} AND k % 103 IN (0, 102))"""
     q["q_rejects"] = """SELECT 'item_without_key' AS reason, COUNT(*) AS nu_rows FROM lineitem WHERE l_orderkey % 97 = 0
 UNION ALL
 SELECT 'item_values', COUNT(*) FILTER (WHERE l_orderkey % 97 = 0) + COUNT(*) FILTER (WHERE l_orderkey % 89 = 0)

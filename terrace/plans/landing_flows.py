@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from terrace.functions.casts import typed_projection
 from terrace.operators.control import control_raw, read_audit, reconcile, write_audit
+from terrace.operators.digests import reconcile_content
 from terrace.operators.merge import has_key
 from terrace.plans import batch
 from terrace.plans.flows import customer_history
@@ -121,6 +122,23 @@ def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile(scanned, landing.read_raw(spark, lake.raw_path), trusted=merged, keys=CUSTOMERS.keys)
 
 
+def content_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing vs raw by content (O5).  In raw, every 101st customer of drop 2 has another city and
+    every 103rd of drop 3 is swapped for a copy of its neighbour, so all counts balance."""
+    lake = write_customer_drops(spark, sf_dir, with_bad_name=False)
+    scanned = landing.accepted(landing.read_landing(spark, lake.folder, CUSTOMERS.landing), CUSTOMERS.landing)
+    key, stamp = F.col("customer_id").cast("bigint"), F.col(REF_FILE)
+    city = F.when((stamp == CUSTOMER_DROP_STAMPS[1]) & (key % 101 == 0), F.lit("ELSEWHERE"))
+    gone = (stamp == CUSTOMER_DROP_STAMPS[2]) & (key % 103 == 0)
+    copied = (stamp == CUSTOMER_DROP_STAMPS[2]) & (key % 103 == 102)
+    raw = (scanned.where(~gone).withColumn("customer_city", F.coalesce(city, F.col("customer_city")))
+           .withColumn("_n", F.explode(F.when(copied, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("_n"))
+    raw.write.parquet(lake.raw_path)
+    found = reconcile_content(scanned, spark.read.parquet(lake.raw_path), CUSTOMERS.keys, CUSTOMERS.landing, REF_FILE,
+                              f"{lake.raw_path}_ranges")
+    return found.withColumn("columns", F.array_join("columns", ","))
+
+
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every drop lands as several part files.  Run 1 meets drop 1 and half of drop 2, run 2
     the rest of drop 2 and drop 3, in micro-batches of two files; a third run finds nothing."""
