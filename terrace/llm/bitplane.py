@@ -262,6 +262,8 @@ def write_files(ids: DataFrame, folder: str, width: int = 2, kind: str = "byte",
         if writer is not None:
             n = writer.close()
             sink.close()
+            if store.get_file_info(name).type != fs.FileType.NotFound:      # an attempt that died after its move
+                store.delete_file(name)
             store.move(temp, name)
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [name], "n_ids": [n]},
                                              pa.schema([("part", pa.int32()), ("path", pa.string()), ("n_ids", pa.int64())]))
@@ -289,7 +291,10 @@ def read_files(manifest: DataFrame, folder: str, rows: int = 2000) -> DataFrame:
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)   # a row per file
     starts = manifest.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
-    files = starts.select("path", "start").repartition("path")
+    # a task per file: by its number, in as many ranges as there are files (hashes would collide, and a
+    # count left to the planner is coalesced to one task)
+    files = starts.select("part", "path", "start").repartitionByRange(max(1, manifest.count()), "part").select(
+        "path", "start")
     return files.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 

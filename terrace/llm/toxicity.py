@@ -1,13 +1,15 @@
 """Toxicity scores from a weighted finite-state pattern grammar (operator 4).
 
 Tokens map to classes: insult (a learned lexicon of word starts with
-weights), threat, target, negation, reported speech, or other.  Small
-machines - target seen, negation in reach, speech reported - are composed
-into one deterministic machine over those classes; reading a clause, it
-emits each insult's or threat's weight into the channel of the state it is
-in (plain, aimed at a target, negated, reported).  A threat is scored with a
-target before or after it in its clause: one without a target yet is held, if
-neither negated nor reported, until a target follows.  A document's features
+weights), threat, target (the person addressed apart from others), negation,
+reported speech, or other.  Small machines - target seen, negation in reach,
+speech reported, threat pending, addressed in reach - are composed into one
+deterministic machine over those classes; reading a clause, it emits each
+insult's weight into the channel of the state it is in (plain, aimed at a target,
+negated, reported).  A threat that is neither negated nor reported is scored
+where it meets its object: a target within ``PENDING`` tokens after it, or the
+person addressed shortly before it; a subject ("they beat the record") is
+none.  A document's features
 are its clauses' channel sums, the strongest clause and the density, and a
 logistic model turns them into a score.
 
@@ -16,7 +18,7 @@ pattern (a trie of the lexicon) finds them in the whole text.
 
 Learning uses labelled rows with crc32(key) mod 5 other than 0, at most
 ``TOXIC_ROWS`` and ``CLEAN_ROWS`` of them (the first by a hash of the key), and
-of near copies one: a copied text's words would else look like evidence.
+of near copies one (the text of least hash): a copied text's words would else look like evidence.
 Word starts are counted on the executors; the driver receives the lexicon
 candidates (``CANDIDATES`` at most) and one feature row per sampled text.
 
@@ -41,7 +43,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from terrace.llm.common import prepare, table
+from terrace.llm.common import prepare, stored, table
 
 TOXIC_ROWS, CLEAN_ROWS = 3000, 5000
 CANDIDATES = 20_000
@@ -54,13 +56,15 @@ TOP_WEIGHT = 6.0
 RIDGE = 1.0
 
 WORD = re.compile(r"[^\W\d_]+")
+TOKEN = re.compile(r"[^\W\d_]+(?:(?<=n)['\u2019]t\b)?")      # as WORD, with n't kept
 CLAUSE_END = re.compile(r"[.!?;\n]")
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
-# Word lists of the fixed classes in the four languages.
+OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH, ADDRESSED = range(7)
+# Word lists of the fixed classes in the four languages; a token such as "won't" is a negation by its ending.
 WORDS = {
-    TARGET: "you your yours he him she her they them this these that who tu vous toi ton il elle ils ce cette "
-            "te du dich dir ihr euch er ihn sie ihnen dieser diese tú usted ustedes él ella ellos este esta",
+    ADDRESSED: "you your yours tu vous toi ton te du dich dir ihr euch tú usted ustedes",
+    TARGET: "he him she her they them this these that who il elle ils ce cette er ihn sie ihnen dieser diese "
+            "él ella ellos este esta",
     NEGATION: "not never no without neither nor isn aren wasn don doesn ne pas jamais sans nicht kein keine nie ohne "
               "nunca sin tampoco",
     SPEECH: "said says told wrote quoted called dit disait écrit sagte sagt schrieb dijo dice escribió",
@@ -84,28 +88,34 @@ FALLBACK_MODEL = [-5.0, 0.5, 0.5, 0.2, 0.2, 0.5, 1.0, 1.0]
 # ------------------------------------------------------------------- grammar
 # A machine: (states, start, step), with step(state, class) -> state.
 REACH = 4                   # tokens that a negation or a reporting verb governs
+ADDRESS = 6                 # tokens after the person addressed in which a threat is theirs
+PENDING = 3                 # tokens after a threat in which its object follows
+CLASSES = 7
 
 
 def target_machine():
-    return range(2), 0, lambda s, c: 1 if c == TARGET else s
+    return range(2), 0, lambda s, c: 1 if c in (TARGET, ADDRESSED) else s
 
 
-def reach_machine(opener: int):
-    return range(REACH + 1), 0, lambda s, c: REACH if c == opener else max(0, s - 1)
+def reach_machine(opener: int, reach: int = REACH):
+    return range(reach + 1), 0, lambda s, c: reach if c == opener else max(0, s - 1)
 
 
 def composed(*machines) -> tuple[list[list[int]], list[tuple[int, ...]]]:
     """The product machine: step table [state][class], and each state's parts."""
     parts = list(product(*[m[0] for m in machines]))
     index = {p: i for i, p in enumerate(parts)}
-    table_ = [[index[tuple(m[2](s, c) for m, s in zip(machines, p))] for c in range(6)] for p in parts]
+    table_ = [[index[tuple(m[2](s, c) for m, s in zip(machines, p))] for c in range(CLASSES)] for p in parts]
     return table_, parts
 
 
 PLAIN, AIMED, NEGATED, REPORTED, THREATENED = range(5)
-STEP, PARTS = composed(target_machine(), reach_machine(NEGATION), reach_machine(SPEECH))
-START = PARTS.index((0, 0, 0))
-CHANNEL = [NEGATED if neg else REPORTED if rep else AIMED if aim else PLAIN for aim, neg, rep in PARTS]
+STEP, PARTS = composed(target_machine(), reach_machine(NEGATION), reach_machine(SPEECH),
+                       reach_machine(THREAT, PENDING + 1), reach_machine(ADDRESSED, ADDRESS))
+START = PARTS.index((0, 0, 0, 0, 0))
+CHANNEL = [NEGATED if neg else REPORTED if rep else AIMED if aim else PLAIN for aim, neg, rep, _, _ in PARTS]
+IS_PENDING = [p[3] > 0 for p in PARTS]
+IS_ADDRESSED = [p[4] > 0 for p in PARTS]
 
 
 def clause_channels(classes: list[tuple[int, float]]) -> list[float]:
@@ -113,13 +123,16 @@ def clause_channels(classes: list[tuple[int, float]]) -> list[float]:
     out, state, held = [0.0] * 5, START, 0.0
     for c, w in classes:
         state = STEP[state][c]
+        if not IS_PENDING[state]:
+            held = 0.0                               # its object did not follow
         if c == INSULT:
             out[CHANNEL[state]] += w
-        elif c == THREAT and CHANNEL[state] == AIMED:
-            out[THREATENED] += w
-        elif c == THREAT and CHANNEL[state] == PLAIN:
-            held += w
-        elif c == TARGET:
+        elif c == THREAT and CHANNEL[state] in (PLAIN, AIMED):
+            if IS_ADDRESSED[state]:
+                out[THREATENED] += w
+            else:
+                held += w
+        elif c in (TARGET, ADDRESSED):
             out[THREATENED] += held
             held = 0.0
     return out
@@ -161,6 +174,8 @@ class Grammar:
             return INSULT, self.lexicon[m[0]]
         if THREATENING.fullmatch(word):
             return THREAT, THREAT_WEIGHT
+        if word.endswith(("n't", "n\u2019t")):
+            return NEGATION, 0.0
         return CLASS_OF.get(word, OTHER), 0.0
 
     def features(self, text: str) -> list[float]:
@@ -171,7 +186,7 @@ class Grammar:
             begin = max((low.rfind(ch, 0, m.start()) for ch in ".!?;\n")) + 1
             stop = CLAUSE_END.search(low, m.end())
             end = stop.start() if stop else len(low)
-            words = WORD.findall(low, begin, end)
+            words = TOKEN.findall(low, begin, end)
             seen.update(w for w in words if self.start.match(w))
             channels = clause_channels([self.token(w) for w in words])
             if channels[THREATENED]:
@@ -268,37 +283,37 @@ def train(docs: DataFrame, labels: DataFrame) -> Grammar:
     by_hash = [F.xxhash64("doc_id"), F.col("doc_id")]
     sample = rows.where("toxic = 1").orderBy(*by_hash).limit(TOXIC_ROWS).unionByName(
         rows.where("toxic = 0").orderBy(*by_hash).limit(CLEAN_ROWS))        # bounded: broadcast below
-    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-             .select("text", "toxic", family(F.col("text")).alias("family"))
-             .dropDuplicates(["toxic", "family"]).select("text", "toxic").repartition(24).persist())
-    try:
-        seen = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
-        n1, n0 = seen.get(1, 0), seen.get(0, 0)
-        if not n1 or not n0:
-            return Grammar(FALLBACK, [*FALLBACK_MODEL, 0.0, 0.0])
-        gap = lambda a, b: F.col(a) / n1 - F.col(b) / n0
-        counts = (texts.mapInArrow(_counted, "start string, " + ", ".join(f"{c} long" for c in COUNTS))
-                  .groupBy("start").agg(*[F.sum(c).alias(c) for c in COUNTS])
-                  .withColumn("gap", F.greatest(gap("d1", "d0"), gap("r1", "r0")))
-                  .where((F.col("d1") >= 4) & (F.col("gap") > 0))
-                  .orderBy(F.desc("gap"), "start").limit(CANDIDATES).select("start", *COUNTS))
-        grammar = Grammar(choose_lexicon([tuple(r) for r in counts.collect()], n1, n0), [])
-
-        def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                x = [grammar.features(t or "") for t in b.column(0).to_pylist()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.int32())],
-                                                 ["x", "y"])
-
-        fitted = texts.mapInArrow(features, "x array<double>, y int").collect()
-        order = sorted((tuple(r["x"]), r["y"]) for r in fitted)             # the same sums on every run
-        x, y = np.array([x for x, _ in order]), np.array([y for _, y in order], float)
-        grammar.model = logistic(x, y)
-        if not x[:, THREATENED].any():         # no evidence: a threat to a target weighs like an insult to one
-            grammar.model[1 + THREATENED] = max(grammar.model[1 + AIMED], FALLBACK_MODEL[1 + THREATENED])
-        return grammar
-    finally:
-        texts.unpersist()
+    # of a family the text with the least hash, whatever the partitions; written, so that a lost executor
+    # cannot mix two samples
+    texts = stored(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+                   .select("text", "toxic", family(F.col("text")).alias("family"))
+                   .groupBy("toxic", "family").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+                   .select("text", "toxic").repartition(24), "toxicity_sample")
+    seen = {r["toxic"]: r["count"] for r in texts.groupBy("toxic").count().collect()}
+    n1, n0 = seen.get(1, 0), seen.get(0, 0)
+    if not n1 or not n0:
+        return Grammar(FALLBACK, [*FALLBACK_MODEL, 0.0, 0.0])
+    gap = lambda a, b: F.col(a) / n1 - F.col(b) / n0
+    counts = (texts.mapInArrow(_counted, "start string, " + ", ".join(f"{c} long" for c in COUNTS))
+              .groupBy("start").agg(*[F.sum(c).alias(c) for c in COUNTS])
+              .withColumn("gap", F.greatest(gap("d1", "d0"), gap("r1", "r0")))
+              .where((F.col("d1") >= 4) & (F.col("gap") > 0))
+              .orderBy(F.desc("gap"), "start").limit(CANDIDATES).select("start", *COUNTS))
+    grammar = Grammar(choose_lexicon([tuple(r) for r in counts.collect()], n1, n0), [])
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x = [grammar.features(t or "") for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), b.column(1).cast(pa.int32())],
+                                             ["x", "y"])
+
+    fitted = texts.mapInArrow(features, "x array<double>, y int").collect()
+    order = sorted((tuple(r["x"]), r["y"]) for r in fitted)             # the same sums on every run
+    x, y = np.array([x for x, _ in order]), np.array([y for _, y in order], float)
+    grammar.model = logistic(x, y)
+    if not x[:, THREATENED].any():         # no evidence: a threat to a target weighs like an insult to one
+        grammar.model[1 + THREATENED] = max(grammar.model[1 + AIMED], FALLBACK_MODEL[1 + THREATENED])
+    return grammar
 
 
 def score(docs: DataFrame, grammar: Grammar) -> DataFrame:
