@@ -34,7 +34,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -272,8 +272,12 @@ def model_path() -> str:
 
 
 def encode(docs: DataFrame, model: str | None = None, seed: str = SEED, theta: float = THETA,
-           keep: Sequence[str] = ()) -> DataFrame:
-    """doc_id, ``keep`` columns, ids, lossless (whether decoding the ids gives the text back) of every row."""
+           keep: Sequence[str] = (), repetitions: bool = False) -> DataFrame:
+    """doc_id, ``keep`` columns, ids, lossless (whether decoding the ids gives the text back) of every row.
+
+    With ``repetitions`` rows that repeat key and text are numbered, and each draws a segmentation of
+    its own: the first that of the key alone, as without.  (This moves the texts once.)
+    """
     model, kept = model or model_path(), ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,7 +293,13 @@ def encode(docs: DataFrame, model: str | None = None, seed: str = SEED, theta: f
             out = pa.ListArray.from_arrays(ids.offsets, ids.values, mask=pa.array(null)) if null.any() else ids
             yield pa.RecordBatch.from_arrays([*b.columns[:-2], out, same], [*kept, "ids", "lossless"])
 
-    src = docs.select(*kept, F.xxhash64(F.lit(seed), key_text(F.col("doc_id"))).alias("stream_"), "text")
+    key = key_text(F.col("doc_id"))
+    stream = F.xxhash64(F.lit(seed), key)
+    if repetitions:
+        docs = docs.select(*kept, "text").withColumn("time_", F.row_number().over(
+            Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(0))))
+        stream = F.when(F.col("time_") == 1, stream).otherwise(F.xxhash64(F.lit(seed), key, F.col("time_")))
+    src = docs.select(*kept, stream.alias("stream_"), "text")
     out = StructType([*src.schema.fields[:len(kept)], *StructType.fromDDL("ids array<int>, lossless boolean").fields])
     return src.mapInArrow(run, out)
 

@@ -15,6 +15,9 @@ Pivots - at most ``PIVOTS`` vectors, the first by a hash of the key - only
 shape blocks; results are exact whatever they are.  They are the only
 table broadcast, of a fixed size.
 
+Scores are exact: products are summed in float64 where all sums stay below 2 ** 53,
+else in 64-bit whole numbers, which the scores have to fit.
+
 Defined cases: vectors that are null, empty or hold a null or non-finite
 component, and rows without a key, take no part; a candidate of another
 length than the query's is not scored; a row never answers a query of its
@@ -33,6 +36,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import prepare, stored, table
+from terrace.llm.hard_negatives import Best
 
 K = 20
 SCALE = 64
@@ -139,6 +143,32 @@ def best_of_shard(queries: np.ndarray, own: np.ndarray, shard: list[dict], k: in
     return list(zip(r.tolist(), ids[r, c].tolist(), scores[r, c].astype(np.int64).tolist()))
 
 
+def fits_float(queries: np.ndarray, shard: list[dict]) -> bool:
+    """Whether every sum of products stays a whole number that float64 holds exactly."""
+    largest = max(max(abs(b["high"]).max(), abs(b["low"]).max()) for b in shard)
+    return float(np.abs(queries).max()) * float(largest) * queries.shape[1] < 2.0 ** 53
+
+
+def best_of_wide_shard(queries: np.ndarray, own: np.ndarray, shard: list[dict], k: int) -> list[tuple]:
+    """As :func:`best_of_shard`, in 64-bit whole numbers: exact wherever the scores fit them.
+
+    Sums may wrap on the way (arithmetic modulo 2 ** 64).  Bounds are floats, widened by more than their error.
+    """
+    high = np.stack([b["high"] for b in shard], axis=1)
+    low = np.stack([b["low"] for b in shard], axis=1)
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    bounds = up @ high + down @ low + 1e-9 * (up @ np.abs(high) - down @ np.abs(low)) + 1.0
+    whole, best = queries.astype(np.int64), Best(len(queries), k)
+    for at in np.argsort(-bounds.max(axis=0), kind="stable"):
+        b = shard[at]
+        live = ~best.taken[:, -1] | (bounds[:, at] >= best.score[:, -1])
+        if live.any():
+            s = np.zeros((len(queries), len(b["ids"])), np.int64)
+            s[live] = whole[live] @ b["vectors"].astype(np.int64).T
+            best.add(s, b["ids"], live[:, None] & (own[:, None] != b["ids"][None, :]))
+    return [(int(r), int(v), int(s)) for r, v, s in zip(*best.rows())]
+
+
 def _merge(scores: np.ndarray, ids: np.ndarray, q: np.ndarray, r: np.ndarray, s: np.ndarray,
            v: np.ndarray, k: int) -> None:
     touched = np.unique(r)
@@ -183,7 +213,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, block_rows: int =
         for d in qs.keys() & bs.keys():
             own = np.array([i for i, _ in qs[d]], np.int64)
             m = np.array([q for _, q in qs[d]], np.float64)
-            out += [(int(own[r]), v, s) for r, v, s in best_of_shard(m, own, bs[d], k)]
+            best = best_of_shard if fits_float(m, bs[d]) else best_of_wide_shard
+            out += [(int(own[r]), v, s) for r, v, s in best(m, own, bs[d], k)]
         columns = list(zip(*out)) or [(), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=["query_id", "vec_id", "score"])
 
