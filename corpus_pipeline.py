@@ -37,9 +37,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_ids, ids, lossless: a row for every repetition in the mix."""
+    """doc_id, source, n_ids, ids, lossless: a row, with a draw of its own, for every repetition in the mix."""
     prepare(spark)
-    return pieces.encode(docs, keep=["source"]).select(
+    return pieces.encode(docs, keep=["source"], repetitions=True).select(
         "doc_id", "source", F.size("ids").cast("bigint").alias("n_ids"), "ids", "lossless")
 
 
