@@ -20,6 +20,8 @@ down in navigation, footers, asides and hidden elements, and outside of the
 article on a page that has one.  Names are whole class tokens or ids, never of
 inline elements, html, body, main, article or an element that holds one of
 these two, and are not believed where the named branches hold most of a page.
+Branches named as reader comments (``COMMENT_WORDS``) go whatever they hold, articles
+and main text by size included, unless the page has nothing else.
 Pages of a host with the same blocks that count are one page.
 
 Raw elements are dropped, and so are embedded ones (``EMBEDDED``) that their own
@@ -69,8 +71,13 @@ BOILER_WORDS = frozenset(
     "comment comments disqus replies widget pagination pager toolbar search copyright hidden".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(" + "|".join(RAW.split()) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*?(?:/>|>.*?(?:</\1\s*>|\Z))"
-                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S | re.I)
+COMMENT_WORDS = frozenset("comment comments disqus replies".split())
+
+# A quote opens a value only right after an equals sign; elsewhere it is a letter like others.
+ATTRIBUTES = r"(?:[^>=]|=(?:\s*(?:\"[^\"]*\"|'[^']*'))?)*+"
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)"
+                   r"|<(" + "|".join(RAW.split()) + r")(?=[\s/>])" + ATTRIBUTES + r">(?:(?<=/>)|.*?(?:</\1\s*>|\Z))"
+                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)(" + ATTRIBUTES + r")>|<[!?][^>]*>", re.S | re.I)
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 
 BOILER, OUTSIDE, NAMED, PLAIN, MAIN = range(5)
@@ -93,21 +100,28 @@ def _names(tag: str, attributes: str) -> tuple[str, set[str], bool]:
 
 def blocks(page: str) -> list[tuple[str, int, str]]:
     """(style path, standing, text) of every non-empty text block, in page order."""
-    out: list[tuple[str, bool, bool, tuple, str]] = []          # path, boiler, in main, names, text
-    stack: list[tuple] = []                          # tag, style name, boiler, in main, names (serials), opened
+    out: list[tuple[str, bool, bool, int, str]] = []            # path, boiler, in main, name, text
+    stack: list[tuple] = []                          # tag, style name, boiler, in main, nearest name, opened
     parts: list[str] = []
-    cleared: set[int] = set()                        # names of elements that hold an article
-    at, serial = 0, 0
+    above = [0]                                      # the name around each name; 0: none
+    cleared: set[int] = {0}                          # names of elements that hold an article
+    remarks: set[int] = set()                        # names of reader comments
+    at, end, last = 0, page.rfind(">") + 1, None     # no tag ends after the last >
+
+    def named(around: int) -> int:
+        above.append(around)
+        return len(above) - 1
 
     def end_block() -> None:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                state = stack[-1][2:5] if stack else (False, False, ())
+                state = stack[-1][2:5] if stack else (False, False, 0)
                 out.append((">".join(s[1] for s in stack if s[0] not in EMBEDDED), *state, text))
             parts.clear()
 
-    for m in TOKEN.finditer(page):
+    for m in TOKEN.finditer(page, 0, end):
+        last = m
         if m.start() > at:
             parts.append(page[at:m.start()])
         at = m.end()
@@ -141,7 +155,7 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
         closed = m[4].endswith("/")
         if tag in EMBEDDED:
             if not closed:
-                state = stack[-1][2:5] if stack else (False, False, ())
+                state = stack[-1][2:5] if stack else (False, False, 0)
                 stack.append((tag, tag, *state, (len(out), parts.copy())))
             continue
         style, words, hidden = _names(tag, m[4])
@@ -164,20 +178,46 @@ def blocks(page: str) -> list[tuple[str, int, str]]:
                 if s[0] in ("head", "nav", "header", "menu"):
                     del stack[i:]
                     break
-        _, _, up_boiler, in_main, names, _ = stack[-1] if stack else ("", "", False, False, (), None)
+        _, _, up_boiler, in_main, names, _ = stack[-1] if stack else ("", "", False, False, 0, None)
+        remark = bool(words & COMMENT_WORDS) and tag not in INLINE and tag not in ("html", "body", "main")
         if tag in MAIN_TAGS:
-            cleared.update(names)
+            around = names
+            while around not in cleared:              # all names around a cleared one are cleared
+                cleared.add(around)
+                around = above[around]
             in_main = True
+            if remark:                                # a comment is commonly an article of its own
+                names = named(names)
+                remarks.add(names)
         elif tag in NAMED_TAGS or tag not in INLINE and tag not in ("html", "body") and words & BOILER_WORDS:
-            serial += 1
-            names = (*names, serial)
+            names = named(names)
+            if remark:
+                remarks.add(names)
         stack.append((tag, style, boiler or up_boiler, in_main, names, None))
+    if last is not None and _left_open(last, end):    # it swallows what follows
+        at = len(page)
     if at < len(page):
         rest = page[at:]
         parts.append(rest[:rest.find("<")] if re.match(r"[^<]*<[a-zA-Z/!][^>]*\Z", rest) else rest)
     end_block()
-    return _standings([(path, boiler, main, any(n not in cleared for n in names), text)
-                       for path, boiler, main, names, text in out])
+    inside, uncleared = [False], [False]              # by name: within reader comments; within a name that holds
+    for n in range(1, len(above)):
+        inside.append(n in remarks or inside[above[n]])
+        uncleared.append(n not in cleared or uncleared[above[n]])
+    said = [inside[name] for *_, name, _ in out]
+    if all(r or b for r, (_, b, *_) in zip(said, out)):      # nothing else on the page: not what the names say
+        said = [False] * len(out)
+    return _standings([(path, boiler or remark, main, uncleared[name], text)
+                       for remark, (path, boiler, main, name, text) in zip(said, out)])
+
+
+def _left_open(m: re.Match, end: int) -> bool:
+    """A comment or raw element that nothing closes up to the page's last tag."""
+    if m.end() < end:
+        return False
+    if m[1]:
+        return not re.search(rf"(?:</{m[1]}\s*|/)>\Z", m[0], re.I)
+    return m[0].startswith("<!--") and not (m[0].endswith("-->") and len(m[0]) >= 7)
 
 
 def _standings(found: list[tuple[str, bool, bool, bool, str]]) -> list[tuple[str, int, str]]:
