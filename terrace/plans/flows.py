@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.control import control_trusted
-from terrace.operators.merge import merge_metrics
+from terrace.operators.merge import keyed, merge_metrics
 from terrace.operators.scd2 import ACTIVE, changed_rows, scd2_build, scd2_changes, scd2_metrics
 from terrace.operators.temporal import asof_left_join, temporal_left_join
 from terrace.plans import marts, star, trusted
@@ -103,6 +103,11 @@ def dim_location(spark: SparkSession, sf_dir: str, history: DataFrame | None = N
     return star.dim_location(history if history is not None else customer_history(spark, sf_dir))
 
 
+def _staged(spark: SparkSession, batch: DataFrame, entity) -> DataFrame:
+    """The batch reduced to one row per key and stored: a merge uses it several times."""
+    return stored(spark, trusted.snapshot(keyed(batch, entity.keys), entity), f"{entity.name}_batch")
+
+
 def trusted_orders(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
     """The stored snapshot of the files before the cutoff, upserted with every later
     file plus the stale replays (which must lose)."""
@@ -110,12 +115,13 @@ def trusted_orders(spark: SparkSession, sf_dir: str, with_action: bool = False)
     replay = F.col(feeds.ORDER_KIND) == "replay"
     early = feed.where(~replay & (F.col(REF_FILE) < F.lit(CUTOFF_STAMP)))
     target = stored(spark, trusted.snapshot(early, ORDERS), "orders")
-    return trusted.upsert(target, feed.where(replay | (F.col(REF_FILE) >= F.lit(CUTOFF_STAMP))), ORDERS, with_action)
+    batch = _staged(spark, feed.where(replay | (F.col(REF_FILE) >= F.lit(CUTOFF_STAMP))), ORDERS)
+    return trusted.upsert(target, batch, ORDERS, with_action)
 
 
 def _inserted(spark: SparkSession, obs: DataFrame, entity, cutoff: int, with_action: bool = False) -> DataFrame:
     target = stored(spark, trusted.snapshot(trusted.before(obs, cutoff), entity), entity.name)
-    return trusted.insert_only(target, trusted.from_(obs, cutoff), entity, with_action)
+    return trusted.insert_only(target, _staged(spark, trusted.from_(obs, cutoff), entity), entity, with_action)
 
 
 def trusted_items(spark: SparkSession, sf_dir: str, with_action: bool = False) -> DataFrame:
@@ -153,13 +159,11 @@ def insert_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_orders(spark: SparkSession, sf_dir: str, history: DataFrame | None = None,
                 customers: bool = True) -> DataFrame:
-    """Order-item fact.  The item snapshot's order ids are those of all item
-    observations (merges never delete), a column-pruned scan."""
-    ids = feeds.item_observations(spark, sf_dir).select("order_id")
+    """Order-item fact over stored trusted snapshots: each merge runs once, whatever reads it."""
     dim = dim_customers(spark, sf_dir, history) if customers else None
-    return star.fact_orders(trusted_orders(spark, sf_dir), dim,
-                            trusted_items(spark, sf_dir), trusted_payments(spark, sf_dir), ids,
-                            customer_versions_bound=CUSTOMER_VERSIONS_BOUND)
+    orders, items, payments = (stored(spark, merged(spark, sf_dir), name) for name, merged in (
+        ("t_orders", trusted_orders), ("t_items", trusted_items), ("t_payments", trusted_payments)))
+    return star.fact_orders(orders, dim, items, payments, customer_versions_bound=CUSTOMER_VERSIONS_BOUND)
 
 
 def sales_by_city(spark: SparkSession, sf_dir: str) -> DataFrame:
