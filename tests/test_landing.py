@@ -197,3 +197,14 @@ def test_raw_files_are_sized_and_small_epochs_compact_under_their_identity(spark
     of = [f for f in _part_files(streamed) if any(f"={u}/" in f for u in units[:3])]
     dirs = {f.rsplit("/", 1)[0] for f in of}
     assert len(of) == len(dirs)
+
+
+def test_header_check_shuffles_no_rows(spark):
+    root = scratch_path(spark, "drift")
+    _parts(spark, root, 20240101000000, range(3))
+    rows_ = landing.read_landing(spark, landing.drop_path(root, CUSTOMERS.folder, 20240101000000), CUSTOMERS.landing)
+    for columns, drift in ((CUSTOMERS.landing, False), (["other", *CUSTOMERS.landing[1:]], True)):
+        checked = landing.with_header_check(rows_, columns)
+        assert [r[0] for r in checked.select(landing.DRIFT).collect()] == [drift] * 3
+        assert landing.header_checked(rows_, columns)[1] is drift
+        assert "Join" not in checked._jdf.queryExecution().executedPlan().toString()
